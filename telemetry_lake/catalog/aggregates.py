@@ -32,7 +32,7 @@ def word_count(lake: Lake) -> DataFrame:
     return count_words(lake.table("documents"), "text")
 
 
-_STATS = 'round(avg, 4) AS avg, round(max, 4) AS max, round(min, 4) AS min, round(stddev, 4) AS stddev'
+_STATS = 'avg, max, min, round(stddev, 4) AS stddev'
 _ROLLUP = 'SELECT "ASMSerial", "ASMMetric", duration, start, "end", records, ' + _STATS + " FROM {view}"
 
 
@@ -42,7 +42,7 @@ def rounded(df: DataFrame, *names: str, digits: int = 4) -> DataFrame:
 
 def _interval(lake: Lake, period: str) -> DataFrame:
     records = telemetry_rollups.long_records(lake.device_metrics)
-    return rounded(telemetry_rollups.intervals(records, period), "avg", "max", "min", "stddev")
+    return rounded(telemetry_rollups.intervals(records, period), "stddev")
 
 
 @query(_ROLLUP.format(view="yearly"))
@@ -67,12 +67,12 @@ def _traffic(lake: Lake) -> DataFrame:
 
 @query('SELECT "ModemSerial", start, "end", records, used FROM usage_months')
 def usage_month(lake: Lake) -> DataFrame:
-    return rounded(usage.usage(_traffic(lake), "month"), "used", digits=2)
+    return usage.usage(_traffic(lake), "month")
 
 
 @query('SELECT "ModemSerial", start, "end", records, used FROM usage_days')
 def usage_day(lake: Lake) -> DataFrame:
-    return rounded(usage.usage(_traffic(lake), "day"), "used", digits=2)
+    return usage.usage(_traffic(lake), "day")
 
 
 @query(

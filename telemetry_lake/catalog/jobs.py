@@ -153,11 +153,11 @@ _SIGNAL_SQL = """
             FROM (SELECT * FROM ev WHERE event_type = 'click' AND user_id IN (SELECT c_custkey FROM customer)) c
             ASOF LEFT JOIN (
                 SELECT epoch_us(h.ts) // 1000000 AS second, h.user_id, 'B' || n.n_regionkey AS fwd, n.n_name AS beam_name
-                FROM ev h JOIN nation n ON CAST(h.value AS INTEGER) = n.n_nationkey
+                FROM ev h JOIN nation n ON CAST(round(h.value * 100) AS BIGINT) % 25 = n.n_nationkey
                 JOIN customer ON c_custkey = h.user_id
                 WHERE h.event_type = 'signup') b
             ON c.user_id = b.user_id AND epoch_us(c.ts) >= b.second * 1000000) m
-        ASOF LEFT JOIN (SELECT user_id, value, epoch_us(ts) // 1000000 AS second FROM ev WHERE event_type = 'view') v
+        ASOF LEFT JOIN (SELECT user_id, round(value * 100) AS value, epoch_us(ts) // 1000000 AS second FROM ev WHERE event_type = 'view') v
         ON m.user_id = v.user_id AND epoch_us(m.ts) >= v.second * 1000000
         WHERE epoch_us(m.ts) - v.second * 1000000 <= 86400000000) s
     JOIN polygon_edges e ON s.fwd = e.beam
@@ -187,7 +187,7 @@ def signal_vs_coverage(lake: Lake) -> DataFrame:
     )
     history = metric_history.load(lake.metric_history, lake.terminals, lake.metrics)
     history = history.withColumn("timestamp", F.timestamp_seconds("timestamp")).withColumn(
-        "Data", F.when(F.col("MetricInt") == 1698, F.round("Data")).otherwise(F.col("Data"))
+        "Data", F.when(F.col("MetricInt") == 1698, F.col("Data") % 25).otherwise(F.col("Data"))
     )
     beam_map = lake.table("nation").select(
         F.col("n_nationkey").cast("string").alias("BeamID"),
@@ -200,9 +200,9 @@ def signal_vs_coverage(lake: Lake) -> DataFrame:
 def _breakdown_sql(parent: str, child: str, unit: str, month: bool) -> str:
     parts = 'CAST(year(p.start) AS INTEGER) AS year' + (', CAST(month(p.start) AS INTEGER) AS month' if month else "")
     return f"""
-    SELECT p."ASMSerial", p."ASMMetric", {parts}, p.duration, p.start, p."end", p.records, round(p.avg, 4) AS avg,
+    SELECT p."ASMSerial", p."ASMMetric", {parts}, p.duration, p.start, p."end", p.records, p.avg,
         CAST(row_number() OVER (PARTITION BY p."ASMSerial", p."ASMMetric", p.start ORDER BY c.start) - 1 AS INTEGER) AS position,
-        c.start AS item_start, c."end" AS item_end, c.records AS item_records, round(c.avg, 4) AS item_avg, c.max AS item_max,
+        c.start AS item_start, c."end" AS item_end, c.records AS item_records, c.avg AS item_avg, c.max AS item_max,
         c.min AS item_min, round(c.stddev, 4) AS item_stddev
     FROM {parent} p JOIN {child} c ON p."ASMSerial" = c."ASMSerial" AND p."ASMMetric" = c."ASMMetric"
         AND date_trunc('{unit}', p.start) = date_trunc('{unit}', c.start)"""
@@ -210,11 +210,11 @@ def _breakdown_sql(parent: str, child: str, unit: str, month: bool) -> str:
 
 def _unfolded(nested: DataFrame, parts: list[str]) -> DataFrame:
     rows = nested.select(
-        "ASMSerial", "ASMMetric", *parts, "duration", "start", "end", "records", F.round("avg", 4).alias("avg"),
+        "ASMSerial", "ASMMetric", *parts, "duration", "start", "end", "records", "avg",
         F.posexplode("breakdown").alias("position", "i"),
     )
     items = [F.col(f"i.{c}").alias(f"item_{c}") for c in ("start", "end", "records", "avg", "max", "min", "stddev")]
-    return rounded(rows.select("*", *items).drop("i"), "item_avg", "item_stddev")
+    return rounded(rows.select("*", *items).drop("i"), "item_stddev")
 
 
 @query(_breakdown_sql("yearly", "monthly", "year", month=False))
@@ -247,11 +247,11 @@ def usage_by_remote(lake: Lake) -> DataFrame:
     report = usage.usage_by_remote(traffic, lake.remotes)
     rows = report.select(
         "RemoteId", "RemoteName", "RemoteSerial", "year", "month", "start", "end", "records",
-        F.round("used", 2).alias("used"), "SI", F.posexplode("breakdown").alias("position", "d"),
+        "used", "SI", F.posexplode("breakdown").alias("position", "d"),
     )
     return rows.select(
         "*", F.col("d.start").alias("day_start"), F.col("d.records").alias("day_records"),
-        F.round("d.used", 2).alias("day_used"),
+        F.col("d.used").alias("day_used"),
     ).drop("d")
 
 

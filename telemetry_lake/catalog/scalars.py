@@ -61,7 +61,7 @@ def si_sql(value: str) -> str:
 
     def scaled(step: str, unit: str) -> str:
         return (
-            f"WHEN {value} >= {step} THEN CAST(CAST(round(CAST({value} / {step} AS DECIMAL(30,15)), 2) "
+            f"WHEN {value} >= {step} THEN CAST(CAST(round(CAST(CAST({value} / {step} AS VARCHAR) AS DECIMAL(30,15)), 2) "
             f"AS DECIMAL(20,2)) AS VARCHAR) || ' {unit}'"
         )
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.times import encode_reversed_key
 from ..plans import metric_history as history_plan, telemetry_rollups
 from ..sinks import changelog, files, ledger
+from ..sources.files import read_parquet_tree
 from .registry import query
 from .views import Lake
 
@@ -157,8 +158,8 @@ def staging_unprocessed(lake: Lake) -> DataFrame:
     events = lake.events.select("event_id", "event_type")
     late = F.col("event_type").isin("view", "error")
     events.filter(~late).write.parquet(f"{root}/files")
-    first_run = ledger.staged_files(files.read_parquet_tree(lake.spark, f"{root}/files"))
+    first_run = ledger.staged_files(read_parquet_tree(lake.spark, f"{root}/files"))
     ledger.record_processed(first_run, f"{root}/ledger")
     events.filter(late).write.mode("append").parquet(f"{root}/files")
-    staged = ledger.staged_files(files.read_parquet_tree(lake.spark, f"{root}/files"))
+    staged = ledger.staged_files(read_parquet_tree(lake.spark, f"{root}/files"))
     return ledger.unprocessed(staged, ledger.read_ledger(lake.spark, f"{root}/ledger")).select("event_id", "event_type")

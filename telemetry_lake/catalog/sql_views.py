@@ -31,7 +31,8 @@ VIEWS: dict[str, str] = {
     "device_metrics": """
         SELECT CASE WHEN l_suppkey % 5 = 0 THEN 'TEST' ELSE 'AAE' END || l_suppkey AS "ASMSerial",
             epoch_us(CAST(l_shipdate AS TIMESTAMP)) // 1000000 AS "timestamp-S",
-            l_quantity AS altitude, l_extendedprice AS direction, l_discount AS latitude, l_tax AS longitude
+            l_quantity AS altitude, round(l_extendedprice * 100) AS direction,
+            round(l_discount * 100) AS latitude, round(l_tax * 100) AS longitude
         FROM lineitem""",
     "long_records": """
         SELECT DISTINCT "ASMSerial", make_timestamp("timestamp-S" * 1000000) AS "timestamp", "ASMMetric", data FROM (
@@ -55,7 +56,7 @@ VIEWS: dict[str, str] = {
     "metric_history": """
         SELECT user_id || '.' || event_type || '.' || (user_id * 100 + k) AS "PartitionKey",
             CAST(3155378975999999999 - epoch_us(ts) // 1000000 AS VARCHAR) AS "RowKey",
-            value AS "Data", 'gauge' AS "Type", ts AS "Timestamp"
+            round(value * 100) AS "Data", 'gauge' AS "Type", ts AS "Timestamp"
         FROM ev""",
     "metrics": """
         SELECT DISTINCT event_type AS id, upper(event_type) AS "Name",
@@ -87,11 +88,11 @@ VIEWS: dict[str, str] = {
     "usage_months": """
         SELECT "ModemSerial", CAST(year("timestamp") AS INTEGER) AS year, CAST(month("timestamp") AS INTEGER) AS month,
             min("timestamp") AS start, max("timestamp") AS "end", count("timestamp") AS records,
-            round(sum("Data"), 2) AS used
+            sum("Data") AS used
         FROM traffic GROUP BY 1, 2, 3""",
     "usage_days": """
         SELECT "ModemSerial", min("timestamp") AS start, max("timestamp") AS "end", count("timestamp") AS records,
-            round(sum("Data"), 2) AS used
+            sum("Data") AS used
         FROM traffic GROUP BY "ModemSerial", date_trunc('day', "timestamp")""",
     "activity": """
         SELECT CAST(user_id AS VARCHAR) AS "EntityName", ts AS "Timestamp",

@@ -95,9 +95,10 @@ class Lake:
             F.concat(kind, supplier.cast("string")).alias("ASMSerial"),
             F.unix_timestamp(F.col("l_shipdate").cast("timestamp")).alias("timestamp-S"),
             F.col("l_quantity").alias("altitude"),
-            F.col("l_extendedprice").alias("direction"),
-            F.col("l_discount").alias("latitude"),
-            F.col("l_tax").alias("longitude"),
+            # Whole hundredths, so that sums and averages are exact on both sides.
+            F.round(F.col("l_extendedprice") * 100).alias("direction"),
+            F.round(F.col("l_discount") * 100).alias("latitude"),
+            F.round(F.col("l_tax") * 100).alias("longitude"),
         )
 
     @property
@@ -107,7 +108,7 @@ class Lake:
         return self.events.select(
             F.concat_ws(".", user.cast("string"), "event_type", property_id).alias("PartitionKey"),
             encode_reversed_key(F.unix_timestamp("ts")).alias("RowKey"),
-            F.col("value").alias("Data"),
+            F.round(F.col("value") * 100).alias("Data"),
             F.lit("gauge").alias("Type"),
             F.col("ts").alias("Timestamp"),
             F.lit(None).cast("string").alias("State1"),

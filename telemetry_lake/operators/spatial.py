@@ -57,15 +57,14 @@ def spatial_join(
     def square(value: Column) -> Column:
         return F.floor(value / F.lit(float(cell)))
 
-    flat = F.flatten(F.col(rings))
-    spans = {}
-    for axis in ("x", "y"):
-        values = F.transform(flat, lambda p, axis=axis: p[axis])
-        spans[axis] = F.sequence(square(F.array_min(values)), square(F.array_max(values)))
+    def span(axis: str) -> Column:
+        values = F.transform(F.flatten(F.col(rings)), lambda p: p[axis])
+        return F.sequence(square(F.array_min(values)), square(F.array_max(values)))
+
     listed = (
         polygons.withColumn("__edges", ring_edges(F.col(rings)))
-        .withColumn("__cx", F.explode(spans["x"]))
-        .withColumn("__cy", F.explode(spans["y"]))
+        .withColumn("__cx", F.explode(span("x")))
+        .withColumn("__cy", F.explode(span("y")))
     )
     placed = points.withColumn("__px", square(F.col(x))).withColumn("__py", square(F.col(y)))
     condition = (F.col("__px") == F.col("__cx")) & (F.col("__py") == F.col("__cy"))

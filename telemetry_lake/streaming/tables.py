@@ -25,7 +25,8 @@ class _CurrentPair(StatefulProcessor):
     """Holds the current value of both sides and reports the pair after each micro-batch."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        state = T.StructType.fromDDL("l string, l_offset bigint, r string, r_offset bigint")
+        kinds = {"l": T.StringType(), "l_offset": T.LongType(), "r": T.StringType(), "r_offset": T.LongType()}
+        state = T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
         self._pair = handle.getValueState("pair", state)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:

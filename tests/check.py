@@ -14,7 +14,7 @@ from .oracle import connect, differences
 
 def main() -> None:
     sf_dir, *names = sys.argv[1:]
-    spark = get_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g"})
+    spark = get_session("check", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf_dir)
     queries, sql = entry.queries(), entry.oracle_sql()
