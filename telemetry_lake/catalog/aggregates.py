@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..operators.joins import without_tagged
-from ..operators.rollups import with_breakdown, with_group_stats
+from ..operators.rollups import nest, with_group_stats
 from ..operators.skew import with_previous
 from ..plans import service_desk, telemetry_rollups, ticket_activity, usage
 from ..streaming.transforms import count_by, word_count as count_words
@@ -182,9 +182,8 @@ def avg_last_n_rma(lake: Lake) -> DataFrame:
 )
 def ordered_breakdown(lake: Lake) -> DataFrame:
     """Months of each year in order, unfolded with their position."""
-    records = telemetry_rollups.long_records(lake.device_metrics)
-    years, months = telemetry_rollups.intervals(records, "year"), telemetry_rollups.intervals(records, "month")
-    nested = with_breakdown(years, months, telemetry_rollups.KEYS, ["year"], ["start", "records"])
+    months = telemetry_rollups.intervals(telemetry_rollups.long_records(lake.device_metrics), "month")
+    nested = nest(months, telemetry_rollups.KEYS, ["year"], ["start", "records"])
     unfolded = nested.select("ASMSerial", "ASMMetric", "year", F.posexplode("breakdown").alias("position", "item"))
     return unfolded.select(
         "ASMSerial", "ASMMetric", "year", F.col("item.start").alias("item_start"),

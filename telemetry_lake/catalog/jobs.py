@@ -186,6 +186,7 @@ def signal_vs_coverage(lake: Lake) -> DataFrame:
         (F.col("c_custkey") + 1000000).cast("string").alias("ModemSerial"),
     )
     history = metric_history.load(lake.metric_history, lake.terminals, lake.metrics)
+    history = files.materialize(history, lake.work_dir("history"))
     history = history.withColumn("timestamp", F.timestamp_seconds("timestamp")).withColumn(
         "Data", F.when(F.col("MetricInt") == 1698, F.col("Data") % 25).otherwise(F.col("Data"))
     )
@@ -221,16 +222,16 @@ def _unfolded(nested: DataFrame, parts: list[str]) -> DataFrame:
 def rollup_breakdown_year(lake: Lake) -> DataFrame:
     """Years with their months, one row per month."""
     records = telemetry_rollups.long_records(lake.device_metrics)
-    years, months = (telemetry_rollups.intervals(records, p) for p in ("year", "month"))
-    return _unfolded(telemetry_rollups.yearly_breakdown(years, months), ["year"])
+    years, _ = telemetry_rollups.breakdowns(records)
+    return _unfolded(years, ["year"])
 
 
 @query(_breakdown_sql("monthly", "daily", "month", month=True))
 def rollup_breakdown_month(lake: Lake) -> DataFrame:
     """Months with their days, one row per day."""
     records = telemetry_rollups.long_records(lake.device_metrics)
-    months, days = (telemetry_rollups.intervals(records, p) for p in ("month", "day"))
-    return _unfolded(telemetry_rollups.monthly_breakdown(months, days), ["year", "month"])
+    _, months = telemetry_rollups.breakdowns(records)
+    return _unfolded(months, ["year", "month"])
 
 
 @query(
@@ -243,8 +244,7 @@ def rollup_breakdown_month(lake: Lake) -> DataFrame:
 )
 def usage_by_remote(lake: Lake) -> DataFrame:
     """Monthly traffic per remote, one row per day of its breakdown."""
-    traffic = files.materialize(_traffic(lake), lake.work_dir("traffic"))
-    report = usage.usage_by_remote(traffic, lake.remotes)
+    report = usage.usage_by_remote(_traffic(lake), lake.remotes)
     rows = report.select(
         "RemoteId", "RemoteName", "RemoteSerial", "year", "month", "start", "end", "records",
         "used", "SI", F.posexplode("breakdown").alias("position", "d"),

@@ -58,9 +58,7 @@ def nested_tree_write(lake: Lake) -> DataFrame:
     """Yearly and monthly breakdowns written as partitioned JSON trees."""
     root = lake.work_dir("tree")
     records = files.materialize(telemetry_rollups.long_records(lake.device_metrics), f"{root}/records")
-    yearly, monthly, daily = (telemetry_rollups.intervals(records, p) for p in ("year", "month", "day"))
-    years = telemetry_rollups.yearly_breakdown(yearly, monthly)
-    months = telemetry_rollups.monthly_breakdown(monthly, daily)
+    years, months = telemetry_rollups.breakdowns(records)
     year_path, month_path = files.write_nested_periods(years, months, f"{root}/report", ["ASMMetric"])
     year_rows = lake.spark.read.schema(years.schema).json(year_path)
     month_rows = lake.spark.read.schema(months.drop("duration").schema).json(month_path)

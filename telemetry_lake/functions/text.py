@@ -17,16 +17,12 @@ def tokenize(text: Column, separator: str = r"\W+") -> Column:
     empty words are dropped, and text made of separators only has no word. Text
     without any separator, the empty text included, is one word.
     """
-    parts = F.split(F.lower(text), separator)
-    size = F.size(parts)
-    ends_empty = F.element_at(parts, -1) == ""
-    keep = (
-        F.when(size == 1, 1)
-        .when(ends_empty & (size == 2) & (F.element_at(parts, 1) == ""), 0)
-        .when(ends_empty, size - 1)
-        .otherwise(size)
-    )
-    return F.slice(parts, 1, keep)
+    parts = F.filter(F.split(F.lower(text), separator), lambda word, i: (word != "") | (i == 0))
+    return F.when(~separators_only(text, separator), parts).otherwise(F.array().cast("array<string>"))
+
+
+def separators_only(text: Column, separator: str = r"\W+") -> Column:
+    return text.rlike(f"^(?:{separator})$")
 
 
 def path_segment(path: Column, index: int) -> Column:

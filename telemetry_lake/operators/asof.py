@@ -1,15 +1,29 @@
-"""As-of left joins: the nearest earlier (or later) row of the other side, per key."""
+"""As-of left joins: the nearest earlier (or later) row of other tables, per key."""
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .skew import MAX_GROUP_ROWS, SLICE, with_slices
 
+#: Pieces over which left rows without a key or time spread; they match nothing.
+UNMATCHABLE_PIECES = 4096
+
+
+@dataclass(frozen=True)
+class Lookup:
+    """A table to look up as of a time: its time column, reach and order among equal times."""
+
+    table: DataFrame
+    time: str
+    tolerance: dt.timedelta | int | None = None
+    tiebreak: Sequence[str] = ()
+
 
 def _as_long(df: DataFrame, name: str) -> Column:
     """A time as microseconds; an integral order column as it is."""
@@ -37,64 +51,89 @@ def asof_join(
     tiebreak: Sequence[str] = (),
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """Keep every ``left`` row and add the matching ``right`` columns, or nulls.
+    """:func:`asof_join_all` with one table."""
+    lookup = Lookup(right, right_time, tolerance, tiebreak)
+    return asof_join_all(left, [lookup], on, left_time, direction, strict, max_group_rows)
+
+
+def asof_join_all(
+    left: DataFrame,
+    lookups: Sequence[Lookup],
+    on: Sequence[str],
+    left_time: str,
+    direction: str = "backward",
+    strict: bool = False,
+    max_group_rows: int = MAX_GROUP_ROWS,
+) -> DataFrame:
+    """Keep every ``left`` row and add the matching columns of each lookup, or nulls.
 
-    ``backward`` takes the latest right row at or before the left time, ``forward`` the earliest
-    one at or after it; ``strict`` leaves equal times out. Rows further away than ``tolerance``
-    do not match, nor do null keys or times. Among right rows of equal time the last one by
-    ``tiebreak`` wins backward and the first one forward; without it the choice is open.
+    ``backward`` takes the latest row at or before the left time, ``forward`` the earliest one at
+    or after it; ``strict`` leaves equal times out. Rows further away than the tolerance do not
+    match, nor do null keys or times. Among rows of equal time the last one by ``tiebreak`` wins
+    backward and the first one forward; without it the choice is open.
 
-    Both sides meet in one shuffle on ``(key, slice)``: right rows sort among left rows and the
-    last one seen is carried along, so no pairs are ever produced.
+    All tables meet in one shuffle and one sort on ``(key, slice)``: looked-up rows sort among the
+    left rows and the last one of each table is carried along, so no pairs are produced. The
+    inputs are read once more for the size of the keys; hand in stored tables, not long lineages.
     """
     if direction not in ("backward", "forward"):
         raise ValueError(f"direction must be 'backward' or 'forward', not {direction!r}")
     on = list(on)
+    added = {i: [c for c in lookup.table.columns if c not in on] for i, lookup in enumerate(lookups)}
     left_only = [c for c in left.columns if c not in on]
-    right_only = [c for c in right.columns if c not in on]
-    clash = set(left_only) & set(right_only)
+    names = [*left_only, *[c for columns in added.values() for c in columns]]
+    clash = {c for c in names if names.count(c) > 1}
     if clash:
-        raise ValueError(f"rename columns present on both sides: {sorted(clash)}")
+        raise ValueError(f"rename columns present on several sides: {sorted(clash)}")
     backward = direction == "backward"
-    sign = 1 if backward else -1
     # Forward runs the same way on the mirrored time axis.
+    sign = 1 if backward else -1
     left_rank, right_rank = (0, 1) if strict else (1, 0)
-    matchable = _all_present([*on, left_time])
 
-    seekers = left.filter(matchable).select(
+    both = left.select(
         *on,
-        (_as_long(left, left_time) * sign).alias("__o"),
+        F.when(_all_present([*on, left_time]), _as_long(left, left_time) * sign).alias("__o"),
         F.lit(left_rank).alias("__rank"),
         F.struct(*[F.col(c) for c in left_only], F.lit(1).alias("__row")).alias("__l"),
     )
-    candidates = (
-        right.filter(_all_present([*on, right_time]))
-        .withColumn("__o", _as_long(right, right_time) * sign)
-        .select(
+    for i, lookup in enumerate(lookups):
+        table = lookup.table.filter(_all_present([*on, lookup.time]))
+        rows = table.withColumn("__o", _as_long(table, lookup.time) * sign).select(
             *on,
             "__o",
             F.lit(right_rank).alias("__rank"),
-            F.struct(F.col("__o"), *[F.col(c) for c in right_only]).alias("__r"),
+            F.struct("__o", *[F.col(c) for c in added[i]]).alias(f"__r{i}"),
         )
+        both = both.unionByName(rows, allowMissingColumns=True)
+    # Left rows that cannot match need no order: spread them instead of meeting in one null group.
+    unmatchable = F.col("__o").isNull()
+    piece = -1 - F.pmod(F.xxhash64("__l"), F.lit(UNMATCHABLE_PIECES))
+    both = with_slices(both, on, "__o", max_group_rows).withColumn(
+        SLICE, F.when(unmatchable, piece).otherwise(F.col(SLICE))
     )
-    both = with_slices(seekers.unionByName(candidates, allowMissingColumns=True), on, "__o", max_group_rows)
-
-    ties = [F.col("__r")[c] for c in tiebreak]
-    present = F.col("__r").isNotNull()
-    if backward:
-        last_in_slice = F.max_by("__r", F.when(present, F.struct(F.col("__o"), *ties)))
-        tie_order = [t.asc_nulls_first() for t in ties]
-    else:
-        last_in_slice = F.min_by("__r", F.when(present, F.struct(-F.col("__o"), *ties)))
-        tie_order = [t.desc_nulls_last() for t in ties]
+
+    ends, tie_order = [], []
+    for i, lookup in enumerate(lookups):
+        row = F.col(f"__r{i}")
+        ties = [row[c] for c in lookup.tiebreak]
+        if backward:
+            last = F.max_by(row, F.when(row.isNotNull(), F.struct(F.col("__o"), *ties)))
+            tie_order += [t.asc_nulls_first() for t in ties]
+        else:
+            last = F.min_by(row, F.when(row.isNotNull(), F.struct(-F.col("__o"), *ties)))
+            tie_order += [t.desc_nulls_last() for t in ties]
+        ends.append(last.alias(f"__r{i}"))
+    carried = [f"__r{i}" for i in added]
     earlier = Window.partitionBy(*on).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    last_time = F.greatest(*[F.col(c)["__o"] for c in carried]) if len(carried) > 1 else F.col(carried[0])["__o"]
+    # What a slice inherits from the slices before it enters as one more looked-up row.
     handed_over = (
-        both.filter(F.col(SLICE).isNotNull())
+        both.filter(F.col(SLICE).isNotNull() & ~unmatchable)
         .groupBy(*on, SLICE)
-        .agg(last_in_slice.alias("__r"))
-        .withColumn("__r", F.last("__r", ignorenulls=True).over(earlier))
-        .filter(F.col("__r").isNotNull())
-        .withColumn("__o", F.col("__r")["__o"])
+        .agg(*ends)
+        .withColumns({c: F.last(c, ignorenulls=True).over(earlier) for c in carried})
+        .withColumn("__o", last_time)
+        .filter(F.col("__o").isNotNull())
         .withColumn("__rank", F.lit(right_rank))
     )
     so_far = (
@@ -104,22 +143,17 @@ def asof_join(
     )
     seen = (
         both.unionByName(handed_over, allowMissingColumns=True)
-        .withColumn("__m", F.last("__r", ignorenulls=True).over(so_far))
+        .withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in carried})
         .filter(F.col("__l").isNotNull())
     )
-    if tolerance is None:
-        close = F.col("__m").isNotNull()
-    else:
-        reach = tolerance // dt.timedelta(microseconds=1) if isinstance(tolerance, dt.timedelta) else int(tolerance)
-        close = F.col("__o") - F.col("__m")["__o"] <= reach
-    joined = seen.select(
-        *on,
-        *[F.col("__l")[c].alias(c) for c in left_only],
-        *[F.when(close, F.col("__m")[c]).alias(c) for c in right_only],
-    )
-    unmatchable = left.filter(~matchable).select(
-        *on,
-        *left_only,
-        *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right_only],
-    )
-    return joined.unionByName(unmatchable)
+    columns = [*on, *[F.col("__l")[c].alias(c) for c in left_only]]
+    for i, lookup in enumerate(lookups):
+        row = F.col(f"__r{i}")
+        close = row.isNotNull() & ~unmatchable
+        if lookup.tolerance is not None:
+            reach = lookup.tolerance
+            if isinstance(reach, dt.timedelta):
+                reach = reach // dt.timedelta(microseconds=1)
+            close &= F.col("__o") - row["__o"] <= reach
+        columns += [F.when(close, row[c]).alias(c) for c in added[i]]
+    return seen.select(*columns)

@@ -48,18 +48,42 @@ def with_calendar(df: DataFrame, *parts: str) -> DataFrame:
     return df.select("*", *[known[part].alias(part) for part in parts])
 
 
-def with_breakdown(parents: DataFrame, children: DataFrame, keys: Sequence[str], parts: Sequence[str], fields: Sequence[str | Column]) -> DataFrame:
-    """Attach to each period the list of its sub-periods, ordered by start, as ``breakdown``.
-
-    A list is as long as the calendar allows: 12 months per year, 31 days per month.
+def nest(
+    children: DataFrame, keys: Sequence[str], parts: Sequence[str], fields: Sequence[str | Column],
+    measures: Sequence[Column] = (),
+) -> DataFrame:
+    """Sum sub-periods up to their period, with their ordered list as ``breakdown``.
+
+    ``parts`` names the calendar columns of the period. Start, end and record count come from the
+    children, so the records are not aggregated a second time and nothing is joined; ``measures``
+    adds further aggregates of the children. A list is as long as the calendar allows: 12
+    months per year, 31 days per month.
     """
-    on = [*keys, *parts]
-    lists = (
+    return (
         with_calendar(children, *parts)
-        .groupBy(*on)
-        .agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("breakdown"))
+        .groupBy(*keys, *parts)
+        .agg(
+            F.min("start").alias("start"),
+            F.max("end").alias("end"),
+            F.sum("records").alias("records"),
+            *measures,
+            F.array_sort(F.collect_list(F.struct(*fields))).alias("breakdown"),
+        )
     )
-    return with_calendar(parents, *parts).join(lists, on)
+
+
+def pooled_deviation(items: Column, mean: Column, records: Column) -> Column:
+    """Sample deviation of a period from the count, average and deviation of its parts.
+
+    Sums squares around the common mean (no difference of large numbers); null for one record.
+    """
+
+    def squares(total: Column, i: Column) -> Column:
+        inner = F.coalesce(i["stddev"] * i["stddev"] * (i["records"] - 1), F.lit(0.0))
+        return total + inner + i["records"] * (i["avg"] - mean) * (i["avg"] - mean)
+
+    total = F.aggregate(items, F.lit(0.0), squares)
+    return F.when(records > 1, F.sqrt(total / (records - 1)))
 
 
 def with_group_stats(df: DataFrame, keys: Sequence[str], measures: Sequence[Column]) -> DataFrame:

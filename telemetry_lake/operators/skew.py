@@ -26,7 +26,8 @@ SLICE = "__slice"
 def with_slices(df: DataFrame, keys: Sequence[str], order: str, max_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """Add :data:`SLICE`: equal-width pieces of the integral ``order`` axis for keys over ``max_rows``."""
     hot = (
-        df.groupBy(*keys)
+        df.filter(F.col(order).isNotNull())
+        .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("__n"), F.min(order).alias("__lo"), F.max(order).alias("__hi"))
         .filter(F.col("__n") > max_rows)
         .orderBy(F.desc("__n"))

@@ -138,35 +138,79 @@ def _mean(values: Column) -> Column:
     return F.try_divide(total, F.size(values))
 
 
+def _closed_tickets(tickets: DataFrame, rma: bool) -> DataFrame:
+    return tickets.filter(_closed() & (_rma() if rma else ~_rma())).select("ModifiedOn", "Number", _days().alias("days"))
+
+
+def _latest_days(closed: DataFrame, n: int) -> DataFrame:
+    """Days of the ``n`` tickets closed last, newest first, as one array."""
+    newest = closed.orderBy(F.desc("ModifiedOn"), F.desc("Number")).limit(n)
+    listed = F.sort_array(F.collect_list(F.struct("ModifiedOn", "Number", "days")), asc=False)
+    return newest.agg(listed["days"].alias("d"))
+
+
+def _resolution_columns(mean: Column, latest: Column, last: Sequence[int]) -> list[Column]:
+    return [
+        round_half_down(mean).alias("All"),
+        *[round_half_down(_mean(F.slice(latest, 1, n))).alias(f"Last#{n}") for n in last],
+    ]
+
+
 def average_resolution(tickets: DataFrame, rma: bool = False, last: Sequence[int] = LAST_N) -> DataFrame:
     """Mean days to close over all closed tickets and over the latest ``last`` ones, in one row.
 
     The latest ones are taken by a top-n of the largest ``n``; the shorter ranges are cut from
     that list.
     """
-    closed = tickets.filter(_closed() & (_rma() if rma else ~_rma())).select("ModifiedOn", "Number", _days().alias("days"))
-    newest = closed.orderBy(F.desc("ModifiedOn"), F.desc("Number")).limit(max(last))
-    listed = newest.agg(F.sort_array(F.collect_list(F.struct("ModifiedOn", "Number", "days")), asc=False)["days"].alias("d"))
+    closed = _closed_tickets(tickets, rma)
     overall = closed.agg(F.avg("days").alias("mean"))
-    return overall.select("mean", listed.scalar().alias("d")).select(
-        round_half_down(F.col("mean")).alias("All"),
-        *[round_half_down(_mean(F.slice("d", 1, n))).alias(f"Last#{n}") for n in last],
-    )
+    both = overall.select("mean", _latest_days(closed, max(last)).scalar().alias("d"))
+    return both.select(*_resolution_columns(F.col("mean"), F.col("d"), last))
 
 
-def ticket_stats(tickets: DataFrame) -> DataFrame:
-    """One row of four maps: open, closed, and resolution times without and for returns."""
+def ticket_stats(tickets: DataFrame, last: Sequence[int] = LAST_N) -> DataFrame:
+    """One row of four maps: open, closed, and resolution times without and for returns.
+
+    One pass per week of the last change covers the counts and overall means; each of the two
+    latest-n lists takes a top-n of its own.
+    """
+    returned, kept = _closed() & _rma(), _closed() & ~_rma()
+    weekly = tickets.groupBy(
+        F.when(_closed(), F.year("ModifiedOn")).alias("Year"), F.when(_closed(), F.weekofyear("ModifiedOn")).alias("Week")
+    ).agg(
+        *_open_counts(),
+        F.count(F.when(_closed(), F.col("Number"))).alias("closed"),
+        F.sum(F.when(kept, _days())).alias("days"),
+        F.count(F.when(kept, _days())).alias("n"),
+        F.sum(F.when(returned, _days())).alias("rma_days"),
+        F.count(F.when(returned, _days())).alias("rma_n"),
+    )
+    levels = ["All", "SeverityLevel1", "SeverityLevel2", "SeverityLevel3"]
+    week = F.when(F.col("Year").isNotNull(), F.struct("Year", "Week", "closed"))
+    totals = weekly.agg(
+        *[F.sum(c).alias(c) for c in levels],
+        F.sort_array(F.collect_list(week), asc=False).alias("weeks"),
+        F.try_divide(F.sum("days"), F.sum("n")).alias("mean"),
+        F.try_divide(F.sum("rma_days"), F.sum("rma_n")).alias("rma_mean"),
+    )
+    row = totals.select(
+        "*",
+        _latest_days(_closed_tickets(tickets, rma=False), max(last)).scalar().alias("latest"),
+        _latest_days(_closed_tickets(tickets, rma=True), max(last)).scalar().alias("rma_latest"),
+    )
 
-    def as_map(columns: Sequence[str]) -> Column:
-        return F.create_map(*[part for c in columns for part in (F.lit(c), F.col(f"`{c}`"))])
+    def as_map(entries: dict[str, Column]) -> Column:
+        return F.create_map(*[part for name, value in entries.items() for part in (F.lit(name), value)])
 
-    def one_map(stats: DataFrame) -> DataFrame:
-        return stats.select(as_map(stats.columns).alias("m"))
+    def times(mean: str, latest: str) -> Column:
+        names = ["All", *[f"Last#{n}" for n in last]]
+        return as_map(dict(zip(names, _resolution_columns(F.col(mean), F.col(latest), last))))
 
-    opened = open_by_severity(tickets)
-    return opened.select(
-        as_map(opened.columns).alias("Open"),
-        one_map(closed_last_two_weeks(tickets)).scalar().alias("Closed"),
-        one_map(average_resolution(tickets)).scalar().alias("ResolutionTime"),
-        one_map(average_resolution(tickets, rma=True)).scalar().alias("RMAResolutionTime"),
+    return row.select(
+        as_map({c: F.coalesce(F.col(c), F.lit(0)) for c in levels}).alias("Open"),
+        as_map(
+            {"CurrentWeek": F.get("weeks", F.lit(0))["closed"], "PrevWeek": F.get("weeks", F.lit(1))["closed"]}
+        ).alias("Closed"),
+        times("mean", "latest").alias("ResolutionTime"),
+        times("rma_mean", "rma_latest").alias("RMAResolutionTime"),
     )

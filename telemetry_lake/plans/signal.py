@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.times import to_utc
-from ..operators.asof import asof_join
+from ..operators.asof import Lookup, asof_join_all
 from ..operators.spatial import spatial_join
 from ..schemas import BEAM_METRIC, SNR_METRIC
 
@@ -61,11 +61,11 @@ def signal_vs_coverage(
     snr = history.filter(F.col("MetricInt") == SNR_METRIC).select(
         F.col("timestamp").alias("snr_time"), modem, F.col("Data").alias("SNR")
     )
-    # Rows that miss either value are dropped in the end, so they need not enter the next join.
-    in_beam = asof_join(located, beams, ["ModemSerial"], "time", "beam_time", BEAM_WITHIN, tiebreak=["PulseBeamName"])
-    in_beam = in_beam.drop("beam_time").dropna()
-    measured = asof_join(in_beam, snr, ["ModemSerial"], "time", "snr_time", SNR_WITHIN, tiebreak=["SNR"])
-    measured = measured.drop("snr_time").dropna()
+    lookups = [
+        Lookup(beams, "beam_time", BEAM_WITHIN, ["PulseBeamName"]),
+        Lookup(snr, "snr_time", SNR_WITHIN, ["SNR"]),
+    ]
+    measured = asof_join_all(located, lookups, ["ModemSerial"], "time").drop("beam_time", "snr_time").dropna()
 
     covered = spatial_join(
         measured, coverage, "longitude", "latitude", "polygon", cell, on=[("FWD", "KALOCovBeamName")]

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators.reshape import melt, with_metric_code
-from ..operators.rollups import roll_up, statistics, with_breakdown
+from ..operators.reshape import melt, rename_columns
+from ..operators.rollups import nest, pooled_deviation, roll_up, statistics
 from ..schemas import METRIC_CODES
 
 KEYS = ["ASMSerial", "ASMMetric"]
@@ -18,8 +18,10 @@ def long_records(device_metrics: DataFrame, prefix: str = "AAE") -> DataFrame:
     Every granularity builds on it: materialise it once when several are wanted.
     """
     wanted = device_metrics.filter(F.col("ASMSerial").startswith(prefix))
-    metrics = [c for c in METRIC_CODES if c in device_metrics.columns]
-    melted = with_metric_code(melt(wanted, ["ASMSerial", "timestamp-S"], metrics, "ASMMetric", "data"))
+    metrics = [code for column, code in METRIC_CODES.items() if column in device_metrics.columns]
+    # Columns take their codes before they become values, so no row needs a lookup.
+    coded = rename_columns(wanted, METRIC_CODES)
+    melted = melt(coded, ["ASMSerial", "timestamp-S"], metrics, "ASMMetric", "data")
     return (
         melted.select("ASMSerial", F.timestamp_seconds("timestamp-S").alias("timestamp"), "ASMMetric", "data")
         .dropna()
@@ -29,15 +31,33 @@ def long_records(device_metrics: DataFrame, prefix: str = "AAE") -> DataFrame:
 
 def intervals(records: DataFrame, period: str) -> DataFrame:
     """Statistics per device, metric and ``year``, ``month`` or ``day``."""
-    rolled = roll_up(records, KEYS, "timestamp", period, statistics(F.col("data")))
+    rolled = _with_total(records, period)
     return rolled.select(*KEYS, F.lit(period).alias("duration"), *ITEM)
 
 
-def yearly_breakdown(yearly: DataFrame, monthly: DataFrame) -> DataFrame:
-    """Years with the ordered list of their months."""
-    return with_breakdown(yearly, monthly, KEYS, ["year"], ITEM)
+def _with_total(records: DataFrame, period: str) -> DataFrame:
+    """Statistics with the sum, from which longer periods can be built."""
+    return roll_up(
+        records, KEYS, "timestamp", period, [*statistics(F.col("data")), F.sum("data").alias("total")]
+    )
+
+
+def _nested(children: DataFrame, period: str, parts: list[str]) -> DataFrame:
+    measures = [F.sum("total").alias("total"), F.max("max").alias("max"), F.min("min").alias("min")]
+    summed = nest(children, KEYS, parts, ITEM, measures)
+    averaged = summed.withColumn("avg", F.col("total") / F.col("records"))
+    deviation = pooled_deviation(F.col("breakdown"), F.col("avg"), F.col("records"))
+    return averaged.withColumn("stddev", deviation).withColumn("duration", F.lit(period))
+
 
+def breakdowns(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Years with the ordered list of their months, and months with that of their days.
 
-def monthly_breakdown(monthly: DataFrame, daily: DataFrame) -> DataFrame:
-    """Months with the ordered list of their days."""
-    return with_breakdown(monthly, daily, KEYS, ["year", "month"], ITEM)
+    Records are aggregated once, to days; months come from days and years from months.
+    """
+    months = _nested(_with_total(records, "day"), "month", ["year", "month"])
+    years = _nested(months.drop("year", "month"), "year", ["year"])
+    return (
+        years.select(*KEYS, "year", "duration", *ITEM, "breakdown"),
+        months.select(*KEYS, "year", "month", "duration", *ITEM, "breakdown"),
+    )

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.numbers import si_prefix
 from ..functions.text import key_part
 from ..operators.joins import join_dimension
-from ..operators.rollups import roll_up, with_breakdown
+from ..operators.rollups import nest, roll_up
 from ..schemas import DOWNLOAD_METRIC, MANAGEMENT_TRAFFIC, UPLOAD_METRIC
 from .metric_history import decode
 
@@ -56,10 +56,8 @@ def remotes(table: DataFrame) -> DataFrame:
 def usage_by_remote(records: DataFrame, remote_table: DataFrame) -> DataFrame:
     """Monthly usage per remote with its daily breakdown; ``RemoteSerial`` is the modem serial."""
     size = si_prefix(F.col("used")).alias("SI")
-    months = with_breakdown(
-        usage(records, "month"), usage(records, "day"), ["ModemSerial"], ["year", "month"],
-        ["start", "end", "records", "used", size],
-    )
+    day = ["start", "end", "records", "used", size]
+    months = nest(usage(records, "day"), ["ModemSerial"], ["year", "month"], day, [F.sum("used").alias("used")])
     return months.join(remotes(remote_table), "ModemSerial").select(
         "RemoteId", "RemoteName", F.col("ModemSerial").alias("RemoteSerial"), "year", "month", "start", "end",
         "records", "used", size, "breakdown",

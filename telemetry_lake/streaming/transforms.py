@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import tokenize
+from ..functions.text import separators_only
 from ..operators.reshape import branch, expand
 
 
@@ -44,8 +44,14 @@ def lower_values(records: DataFrame) -> DataFrame:
 
 
 def words(lines: DataFrame, text: str = "value") -> DataFrame:
-    """One row per word of every line."""
-    return lines.select(F.explode(tokenize(F.col(text))).alias("word"))
+    """One row per word of every line, as :func:`~telemetry_lake.functions.text.tokenize` splits it.
+
+    Empty words are filtered as rows, in generated code, rather than inside the array.
+    """
+    pieces = lines.filter(~separators_only(F.col(text))).select(
+        F.posexplode(F.split(F.lower(text), r"\W+")).alias("position", "word")
+    )
+    return pieces.filter((F.col("word") != "") | (F.col("position") == 0)).select("word")
 
 
 def count_by(records: DataFrame, column: str) -> DataFrame:
