@@ -18,7 +18,7 @@ def tokenize(text: Column, separator: str = r"\W+") -> Column:
     without any separator, the empty text included, is one word.
     """
     parts = F.filter(F.split(F.lower(text), separator), lambda word, i: (word != "") | (i == 0))
-    return F.when(~separators_only(text, separator), parts).otherwise(F.array().cast("array<string>"))
+    return F.when(separators_only(text, separator), F.array().cast("array<string>")).otherwise(parts)
 
 
 def separators_only(text: Column, separator: str = r"\W+") -> Column:

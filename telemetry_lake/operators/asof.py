@@ -108,9 +108,8 @@ def asof_join_all(
     # Left rows that cannot match need no order: spread them instead of meeting in one null group.
     unmatchable = F.col("__o").isNull()
     piece = -1 - F.pmod(F.xxhash64("__l"), F.lit(UNMATCHABLE_PIECES))
-    both = with_slices(both, on, "__o", max_group_rows).withColumn(
-        SLICE, F.when(unmatchable, piece).otherwise(F.col(SLICE))
-    )
+    sliced = with_slices(both, on, "__o", max_group_rows)
+    both = sliced.withColumn(SLICE, F.when(unmatchable, piece).otherwise(F.col(SLICE)))
 
     ends, tie_order = [], []
     for i, lookup in enumerate(lookups):
@@ -128,7 +127,7 @@ def asof_join_all(
     last_time = F.greatest(*[F.col(c)["__o"] for c in carried]) if len(carried) > 1 else F.col(carried[0])["__o"]
     # What a slice inherits from the slices before it enters as one more looked-up row.
     handed_over = (
-        both.filter(F.col(SLICE).isNotNull() & ~unmatchable)
+        sliced.filter(F.col(SLICE).isNotNull())
         .groupBy(*on, SLICE)
         .agg(*ends)
         .withColumns({c: F.last(c, ignorenulls=True).over(earlier) for c in carried})
