@@ -83,7 +83,8 @@ def stream_mapvalues(lake: Lake) -> DataFrame:
 def _counted(lake: Lake, counts: DataFrame, key: str) -> DataFrame:
     out = lake.work_dir("counts")
     io.use_rocksdb(lake.spark)
-    io.to_count_table(counts, f"{out}/table", f"{out}/checkpoint", key).awaitTermination()
+    with io.state_partitions(lake.spark):
+        io.to_count_table(counts, f"{out}/table", f"{out}/checkpoint", key).awaitTermination()
     return read_current(lake.spark, f"{out}/table", key, "count", "version")
 
 
@@ -112,7 +113,10 @@ def _table_join(lake: Lake, how: str) -> DataFrame:
     out = lake.work_dir("tables")
     live = _streaming(lake)
     pairs = tables.join_table_streams(live.region_changes, live.metric_changes, how)
-    io.to_table(pairs, f"{out}/table", f"{out}/checkpoint", "key", "value", "offset", mode="update").awaitTermination()
+    with io.state_partitions(lake.spark):
+        io.to_table(
+            pairs, f"{out}/table", f"{out}/checkpoint", "key", "value", "offset", mode="update"
+        ).awaitTermination()
     return read_current(lake.spark, f"{out}/table", "key", "value", "offset")
 
 
@@ -136,7 +140,8 @@ def _within(lake: Lake, how: str) -> DataFrame:
         joined = joins.join_within(
             live["left"], live["right"], "key", "left_ts", "right_ts", batch_joins.WITHIN, how
         )
-        io.to_files(joined, f"{out}/data", f"{out}/checkpoint").awaitTermination()
+        with io.state_partitions(lake.spark):
+            io.to_files(joined, f"{out}/data", f"{out}/checkpoint").awaitTermination()
 
     run()
     for name, side in sides.items():

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -12,8 +13,28 @@ from ..sinks.changelog import append_changes
 
 
 def use_rocksdb(spark: SparkSession) -> None:
-    """Keep stream state in RocksDB, off the heap; keyed state here has no retention."""
+    """Keep stream state in RocksDB, off the heap; keyed state here has no retention.
+
+    Commits upload the changes of a micro-batch instead of whole snapshots.
+    """
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
+@contextmanager
+def state_partitions(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
+    """Start stateful queries inside with a number of state partitions, by default one per core.
+
+    The number is fixed for the life of a checkpoint, and every partition opens its state stores
+    in every micro-batch, so the default of batch shuffles fits neither small nor large clusters.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(partitions or spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
 
 
 def file_records(
