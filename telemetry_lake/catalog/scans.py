@@ -180,7 +180,7 @@ def write_self_tests(lake: Lake, root: str) -> None:
             F.max("l_quantity").alias("time"),
         )
         .groupBy("l_suppkey")
-        .agg(F.array_sort(F.collect_list(suite)).alias("testsuites"))
+        .agg(F.sort_array(F.collect_list(suite)).alias("testsuites"))
     )
     supplier = lake.table("supplier").withColumnRenamed("s_suppkey", "l_suppkey")
     document = F.to_json(

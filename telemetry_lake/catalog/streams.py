@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import joins
-from ..sinks.changelog import read_current
+from ..sinks.changelog import append_changes, read_current
 from ..streaming import io, tables, transforms
 from . import joins as batch_joins
 from .aggregates import WORDS_SQL
@@ -155,11 +155,18 @@ def _within(lake: Lake, how: str) -> DataFrame:
 
 
 def _lookup(lake: Lake, how: str) -> DataFrame:
-    """Stream records against the current state of a change log."""
-    regions = joins.current_table(lake.region_changes, "key", "value", "offset")
+    """Stream records against a change log, read afresh for every micro-batch."""
+    out = lake.work_dir("lookup")
+    append_changes(lake.region_changes, f"{out}/table", 0, "key", "value", "offset")
+
+    def look_up(batch: DataFrame) -> DataFrame:
+        regions = read_current(batch.sparkSession, f"{out}/table", "key", "value", "offset")
+        joined = joins.join_stream_table(batch, regions, "key", "key", "metric", "value", how)
+        return joined.select("offset", "key", "value")
+
     stream = _streaming(lake).keyed_records("purchase").select("key", "offset", "metric")
-    joined = joins.join_stream_table(stream, regions, "key", "key", "metric", "value", how)
-    return _written(lake, joined.select("offset", "key", "value"), "lookup")
+    io.lookup_to_files(stream, look_up, f"{out}/data", f"{out}/checkpoint").awaitTermination()
+    return lake.spark.read.parquet(f"{out}/data").drop("batch")
 
 
 def _global(lake: Lake, how: str) -> DataFrame:

@@ -157,7 +157,7 @@ class Lake:
             self.events.select(user, k)
             .distinct()
             .groupBy(user)
-            .agg(F.array_sort(F.collect_list(entry)).alias("Properties"))
+            .agg(F.sort_array(F.collect_list(entry)).alias("Properties"))
             .select(
                 user.cast("string").alias("id"),
                 (user + 1000000).alias("SN"),

@@ -10,6 +10,11 @@ SECONDS_PER_DAY = 86400
 SIZE_STEPS = [(1e12, "TB"), (1e9, "GB"), (1e6, "MB"), (1e3, "KB")]
 
 
+def long_from_bytes(value: Column) -> Column:
+    """Eight big-endian bytes, as stream clients write numbers, as a signed long."""
+    return F.conv(F.hex(value), 16, -10).cast("bigint")
+
+
 def si_prefix(value: Column) -> Column:
     """A size as text: two decimals from 1 KB up, the plain number and ``B`` below."""
     value = value.cast("double")

@@ -67,7 +67,7 @@ def nest(
             F.max("end").alias("end"),
             F.sum("records").alias("records"),
             *measures,
-            F.array_sort(F.collect_list(F.struct(*fields))).alias("breakdown"),
+            F.sort_array(F.collect_list(F.struct(*fields))).alias("breakdown"),
         )
     )
 

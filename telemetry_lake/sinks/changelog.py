@@ -21,6 +21,12 @@ def read_current(spark: SparkSession, path: str, key: str, value: str, offset: s
     return current_table(spark.read.parquet(path).drop("batch"), key, value, offset)
 
 
+def fold_changes(spark: SparkSession, path: str, into: str, key: str, offset: str) -> None:
+    """Rewrite a log that has grown long as a single batch of a new log, deletions included."""
+    log = spark.read.parquet(path).drop("batch")
+    latest_per_key(log, key, offset).write.mode("overwrite").parquet(f"{into}/batch=0")
+
+
 def read_changes(spark: SparkSession, path: str) -> DataFrame:
     """The log itself, with the ``batch`` each change came in."""
     return spark.read.parquet(path).withColumn("batch", F.col("batch").cast("bigint"))

@@ -65,7 +65,7 @@ def json_array_documents(df: DataFrame, by: Sequence[str], order: Sequence[str],
     # The table of large groups has at most MAX_HOT_GROUPS rows; the others stay whole.
     numbered = df.join(F.broadcast(large), list(by), "left").withColumn("part", part)
     item = F.struct(F.struct(*order).alias("o"), F.struct(*items).alias("v"))
-    lists = numbered.groupBy(*by, "part").agg(F.array_sort(F.collect_list(item)).alias("__items"))
+    lists = numbered.groupBy(*by, "part").agg(F.sort_array(F.collect_list(item)).alias("__items"))
     return lists.select(*by, "part", F.to_json(F.transform("__items", lambda i: i["v"])).alias("document"))
 
 

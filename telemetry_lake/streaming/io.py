@@ -8,6 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.numbers import long_from_bytes
 from ..session import ROCKSDB_PROVIDER
 from ..sinks.changelog import append_changes
 
@@ -59,7 +60,7 @@ def topic_records(
         .load()
     )
     if value_type == "bigint":
-        value = F.conv(F.hex("value"), 16, -10).cast("bigint")
+        value = long_from_bytes(F.col("value"))
     else:
         value = F.col("value").cast("string").cast(value_type)
     return raw.select(
@@ -112,6 +113,21 @@ def to_count_table(counts: DataFrame, path: str, checkpoint: str, key: str, once
     return _each_batch(counts, store, checkpoint, "update", once)
 
 
+def lookup_to_files(
+    stream: DataFrame, look_up: Callable[[DataFrame], DataFrame], path: str, checkpoint: str, once: bool = True
+) -> StreamingQuery:
+    """Join every micro-batch with a table as it is by then, and write the result under its batch number.
+
+    ``look_up`` gets the micro-batch and reads the table itself, so updates made while the stream
+    runs are seen by the batches after them. A replayed batch overwrites itself.
+    """
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        look_up(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return _each_batch(stream, store, checkpoint, "append", once)
+
+
 def _each_batch(
     df: DataFrame, store: Callable[[DataFrame, int], None], checkpoint: str, mode: str, once: bool
 ) -> StreamingQuery:

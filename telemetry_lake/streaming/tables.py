@@ -6,14 +6,19 @@ pair every old version. Here the state of a key is one current value per side.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.text import render_pair
 
+# The two helpers below travel with the query, so that workers need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _newest_per_key(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Map-side reduction: of each Arrow batch keep the last change per key and side."""

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from telemetry_lake.operators import joins
-from telemetry_lake.sinks.changelog import append_changes, read_changes, read_current
+from telemetry_lake.sinks.changelog import append_changes, fold_changes, read_changes, read_current
 from telemetry_lake.streaming import io, tables, transforms
 
 REGIONS = [("sensor-1", "MN"), ("sensor-2", "WI"), ("sensor-3-in-topic-one", "IL")]
@@ -249,3 +249,30 @@ def test_replayed_batch_overwrites_itself(spark, tmp_path):
     append_changes(spark.createDataFrame([("b", None, 4)], changes.schema), path, 1, "key", "value", "offset")
     assert read_changes(spark, path).count() == 3
     assert as_dict(read_current(spark, path, "key", "value", "offset")) == {"a": "2"}
+    fold_changes(spark, path, path + "-folded", "key", "offset")
+    assert read_changes(spark, path + "-folded").count() == 2
+    assert as_dict(read_current(spark, path + "-folded", "key", "value", "offset")) == {"a": "2"}
+
+
+def test_lookup_follows_the_table(spark, tmp_path, feed):
+    table, out = str(tmp_path / "table"), str(tmp_path / "joined")
+    source = feed("key string, metric bigint")
+
+    def look_up(batch):
+        current = read_current(spark, table, "key", "value", "offset")
+        return joins.join_stream_table(batch, current, "key", "key", "metric", "value", "left")
+
+    for number, (region, metric) in enumerate([("MN", 1), ("TX", 2), (None, 3)]):
+        changes = spark.createDataFrame([("a", region, number)], "key string, value string, offset bigint")
+        append_changes(changes, table, number, "key", "value", "offset")
+        source.add([("a", metric)])
+        io.lookup_to_files(source.stream(), look_up, out, out + "-checkpoint").awaitTermination()
+    assert sorted(r["value"] for r in spark.read.parquet(out).collect()) == ["1/MN", "2/TX", "3/null"]
+
+
+def test_topic_numbers(spark):
+    from telemetry_lake.functions.numbers import long_from_bytes
+
+    numbers = [0, 1, -1, 99, 2**62, -(2**63)]
+    df = spark.createDataFrame([(bytearray(n.to_bytes(8, "big", signed=True)),) for n in numbers], "value binary")
+    assert [r[0] for r in df.select(long_from_bytes(F.col("value"))).collect()] == numbers
