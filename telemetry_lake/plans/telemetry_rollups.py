@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ..operators.reshape import melt, rename_columns
 from ..operators.rollups import nest, pooled_deviation, roll_up, statistics
@@ -15,18 +15,26 @@ ITEM = ["start", "end", "records", "avg", "max", "min", "stddev"]
 def long_records(device_metrics: DataFrame, prefix: str = "AAE") -> DataFrame:
     """Distinct ``(ASMSerial, timestamp, ASMMetric, data)`` of the dictionary's metrics.
 
-    Every granularity builds on it: materialise it once when several are wanted.
+    Copies are removed while the rows are still wide, one row instead of one per metric. Only where
+    a device reports several different rows for one second can a value still repeat; those few
+    rows are compared per metric. Every granularity builds on the result: materialise it once
+    when several are wanted.
     """
-    wanted = device_metrics.filter(F.col("ASMSerial").startswith(prefix))
-    metrics = [code for column, code in METRIC_CODES.items() if column in device_metrics.columns]
+    moment = ["ASMSerial", "timestamp-S"]
+    present = {column: code for column, code in METRIC_CODES.items() if column in device_metrics.columns}
+    wanted = device_metrics.filter(F.col("ASMSerial").startswith(prefix) & F.col("timestamp-S").isNotNull())
     # Columns take their codes before they become values, so no row needs a lookup.
-    coded = rename_columns(wanted, METRIC_CODES)
-    melted = melt(coded, ["ASMSerial", "timestamp-S"], metrics, "ASMMetric", "data")
-    return (
-        melted.select("ASMSerial", F.timestamp_seconds("timestamp-S").alias("timestamp"), "ASMMetric", "data")
-        .dropna()
-        .distinct()
-    )
+    readings = rename_columns(wanted.select(*moment, *[f"`{c}`" for c in present]), present).distinct()
+    counted = readings.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*moment)))
+
+    def long(rows: DataFrame) -> DataFrame:
+        melted = melt(rows, moment, list(present.values()), "ASMMetric", "data")
+        return melted.select(
+            "ASMSerial", F.timestamp_seconds("timestamp-S").alias("timestamp"), "ASMMetric", "data"
+        ).dropna()
+
+    single, several = counted.filter(F.col("__n") == 1), counted.filter(F.col("__n") > 1)
+    return long(single).unionByName(long(several).distinct())
 
 
 def intervals(records: DataFrame, period: str) -> DataFrame:

@@ -127,6 +127,19 @@ def test_pooled_statistics_equal_direct_ones(spark):
             assert got[k]["stddev"] == (None if row["stddev"] is None else pytest.approx(row["stddev"], rel=1e-9))
 
 
+def test_long_records_are_distinct_per_metric(spark):
+    rows = [
+        ("AAE1", 5, 1.0, 7.0), ("AAE1", 5, 1.0, 7.0), ("AAE1", 5, 1.0, 8.0), ("AAE1", 5, None, 7.0), ("AAE1", 6, 1.0, 7.0),
+        ("AAE1", None, 1.0, 7.0), ("TEST1", 5, 1.0, 7.0), ("AAE2", 9, 2.0, float("nan")),
+    ]
+    wide = spark.createDataFrame(rows, "ASMSerial string, `timestamp-S` bigint, altitude double, speed double")
+    got = telemetry_rollups.long_records(wide).select("ASMSerial", F.unix_timestamp("timestamp"), "ASMMetric", "data")
+    assert sorted(map(tuple, got.collect())) == [
+        ("AAE1", 5, "ASM-ALTITUDE", 1.0), ("AAE1", 5, "ASM-SPEED", 7.0), ("AAE1", 5, "ASM-SPEED", 8.0),
+        ("AAE1", 6, "ASM-ALTITUDE", 1.0), ("AAE1", 6, "ASM-SPEED", 7.0), ("AAE2", 9, "ASM-ALTITUDE", 2.0),
+    ]
+
+
 def test_daily_usage_adds_up(spark):
     rows = [(1, h * 3600, float(h)) for h in range(24 * 70)]
     records = spark.createDataFrame(rows, "ModemSerial bigint, s bigint, Data double").withColumn("timestamp", F.timestamp_seconds("s"))
