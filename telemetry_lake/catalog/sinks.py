@@ -141,8 +141,7 @@ def incremental_process(lake: Lake) -> DataFrame:
     """Staged rows minus the newest batch, appended as a batch of their own; a second run adds nothing."""
     base, staging = _batches(lake)
     listed = lake.work_dir("ledger")
-    nothing = lake.spark.createDataFrame([], f"{ledger.SOURCE_FILE} string")
-    name = history_plan.process_staging(lake.spark, staging, base, listed, known=nothing)
+    name = history_plan.process_staging(lake.spark, staging, base, listed)
     again = history_plan.process_staging(lake.spark, staging, base, listed)
     assert again is None
     rows = lake.spark.read.parquet(f"{base}/{name}")

@@ -53,7 +53,7 @@ def newest_batch(spark: SparkSession, base: str) -> str | None:
 
 
 def process_staging(
-    spark: SparkSession, staging: str, base: str, ledger: str, against: str = "latest", known: DataFrame | None = None
+    spark: SparkSession, staging: str, base: str, ledger: str, against: str = "latest"
 ) -> str | None:
     """Append the new rows of ``staging`` to ``base`` as one batch named by its smallest row key.
 
@@ -64,10 +64,10 @@ def process_staging(
     if against not in ("latest", "all"):
         raise ValueError(f"against must be 'latest' or 'all', not {against!r}")
     staged = staged_files(read_parquet_tree(spark, staging))
-    fresh_files = unprocessed(staged, read_ledger(spark, ledger) if known is None else known)
-    previous = (
-        spark.read.parquet(f"{base}/{newest_batch(spark, base)}") if against == "latest" else read_parquet_tree(spark, base)
-    )
+    fresh_files = unprocessed(staged, read_ledger(spark, ledger))
+    newest = newest_batch(spark, base)
+    # A base without any row has no newest batch to compare with.
+    previous = spark.read.parquet(f"{base}/{newest}") if against == "latest" and newest else read_parquet_tree(spark, base)
     fresh = materialize(
         new_rows(fresh_files.drop(SOURCE_FILE), previous), f"{staging.rstrip('/')}-fresh/{uuid.uuid4().hex}"
     )

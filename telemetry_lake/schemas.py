@@ -159,3 +159,28 @@ GEOJSON = (
     "features array<struct<geometry: struct<type: string, coordinates: array<array<array<double>>>>, "
     "properties: map<string, string>>>"
 )
+
+# --- fixed values: source tables copied as snapshots (identifiers become text) ---
+SNAPSHOTS = {
+    "tickets": (
+        "Id string, CreatedOn timestamp, CreatedById string, ModifiedOn timestamp, ModifiedById string, "
+        "Subject string, Description string, Status string, Substatus string, Type string, Source string, "
+        "Priority string, AssignedToId string, AccountId string, Number int, IsAlert boolean, Test boolean, "
+        "ClosedOn timestamp"
+    ),
+    "tags": (
+        "Id string, EntityId string, EntityType string, CreatedOn timestamp, CreatedById string, Name string, "
+        "Description string"
+    ),
+    "subscriptions": (
+        "Id string, CreatedOn timestamp, CreatedById string, ModifiedOn timestamp, ModifiedById string, "
+        "RemoteId string, StartDate timestamp, EndDate timestamp, RequestedCommissionDate timestamp, Active boolean, "
+        "SubscriptionNumber string, Limit int, NetworkId string, ServicePlanId string, DataPackageId string, "
+        "ActivityTypeId string, RegionId string, AutoRenew boolean, DurationInMonths int"
+    ),
+}
+
+
+def snapshot_columns(name: str) -> dict[str, str]:
+    """Column types of a snapshot table by column name."""
+    return dict(column.split(" ") for column in SNAPSHOTS[name].split(", "))

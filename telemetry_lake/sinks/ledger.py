@@ -27,4 +27,6 @@ def record_processed(rows: DataFrame, ledger_path: str) -> None:
 
 
 def read_ledger(spark: SparkSession, ledger_path: str) -> DataFrame:
+    """The ledger, which starts out empty."""
+    spark.createDataFrame([], f"{SOURCE_FILE} string").write.mode("ignore").parquet(ledger_path)
     return spark.read.schema(f"{SOURCE_FILE} string").parquet(ledger_path)

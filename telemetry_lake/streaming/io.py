@@ -68,11 +68,15 @@ def topic_records(
     )
 
 
-def to_topic(records: DataFrame, servers: str, topic: str, checkpoint: str) -> StreamingQuery:
-    """Send ``key, value`` to a topic. Needs Spark's Kafka package on the class path."""
+def to_topic(records: DataFrame, servers: str, topic: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
+    """Send ``key, value`` to a topic; ``mode`` ``update`` sends each change of an aggregate.
+
+    Needs Spark's Kafka package on the class path.
+    """
     return (
         records.select(F.col("key").cast("string"), F.col("value").cast("string"))
         .writeStream.format("kafka")
+        .outputMode(mode)
         .option("kafka.bootstrap.servers", servers)
         .option("topic", topic)
         .option("checkpointLocation", checkpoint)

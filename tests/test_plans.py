@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 from telemetry_lake.plans import checkins, compaction, metric_history, service_desk, telemetry_rollups, ticket_activity, usage
 from telemetry_lake.schemas import QUOTED_METRICS, SELF_TEST_FULL, device_metrics
 from telemetry_lake.sinks import files
-from telemetry_lake.sinks.ledger import SOURCE_FILE
 from telemetry_lake.sources import files as sources
 
 
@@ -72,7 +71,6 @@ def history(spark, tmp_path):
     base, staging, ledger = (str(tmp_path / n) for n in ("data", "to_process", "ledger"))
     spark.createDataFrame([("a", "900", 1.0), ("b", "800", None)], HISTORY).write.parquet(f"{base}/800")
     spark.createDataFrame([("c", "700", 3.0)], HISTORY).write.parquet(f"{base}/700")
-    spark.createDataFrame([], f"{SOURCE_FILE} string").write.parquet(ledger)
     return base, staging, ledger
 
 
