@@ -32,7 +32,7 @@ def compact_metrics(lake: Lake) -> DataFrame:
         F.col("altitude").cast("bigint").alias("gps_fix"), (F.col("altitude") > 25).alias("rx-lock"),
     )
     raw.hint("rebalance", "serial").write.partitionBy("serial").json(root)
-    table = compaction.compact(compaction.device_metrics_table(lake.spark, root), lake.work_dir("metrics"))
+    table = compaction.compact(compaction.device_metrics_table(lake.spark, root), lake.work_dir("metrics"), files=4)
     return table.select(
         "ASMSerial", F.col("timestamp-S").alias("second"), "+1_1V_D", "Temperature__C", "altitude", "gps_fix", "rx-lock"
     )
@@ -74,7 +74,7 @@ def compact_chamber(lake: Lake) -> DataFrame:
         F.date_add(F.lit("2019-01-01").cast("date"), size).alias("Date"),
         F.array(sample(0), sample(1)).alias("data"),
     ).write.json(root)
-    table = compaction.compact(compaction.chamber_table(lake.spark, root), lake.work_dir("chamber"), files=None)
+    table = compaction.compact(compaction.chamber_table(lake.spark, root), lake.work_dir("chamber"))
     return table.select("jira", "band", F.col("Tx.pattern_type").alias("pattern"), "Date", F.explode("data").alias("d")).select(
         "jira", "band", "pattern", "Date", F.col("d.Point").alias("point"), F.col("d.Primary").alias("primary_angle"),
         F.col("d.Ch1_dB").alias("level"),

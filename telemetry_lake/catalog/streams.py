@@ -145,7 +145,7 @@ def _within(lake: Lake, how: str) -> DataFrame:
 
     run()
     for name, side in sides.items():
-        end = side.limit(1).select(
+        end = lake.spark.range(1).select(
             *[F.lit(END).cast("timestamp").alias(c) if c.endswith("_ts") else F.lit("" if c == "key" else None).cast(side.schema[c].dataType).alias(c) for c in side.columns]
         )
         end.write.mode("append").parquet(f"{out}/{name}")

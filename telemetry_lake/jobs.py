@@ -33,18 +33,18 @@ def job(fn: Callable[..., None]) -> Callable[..., None]:
 
 
 @job
-def compact_metrics(spark: SparkSession, root: str, out: str, files: str = "4") -> None:
-    compaction.compact(compaction.device_metrics_table(spark, root), out, int(files))
+def compact_metrics(spark: SparkSession, root: str, out: str, files: str = "") -> None:
+    compaction.compact(compaction.device_metrics_table(spark, root), out, int(files) if files else None)
 
 
 @job
-def compact_self_tests(spark: SparkSession, root: str, out: str, files: str = "4") -> None:
-    compaction.compact(compaction.self_test_table(spark, root), out, int(files))
+def compact_self_tests(spark: SparkSession, root: str, out: str, files: str = "") -> None:
+    compaction.compact(compaction.self_test_table(spark, root), out, int(files) if files else None)
 
 
 @job
 def compact_chamber(spark: SparkSession, root: str, out: str) -> None:
-    compaction.compact(compaction.chamber_table(spark, root), out, files=None)
+    compaction.compact(compaction.chamber_table(spark, root), out)
 
 
 @job

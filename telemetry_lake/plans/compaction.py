@@ -31,7 +31,7 @@ def chamber_table(spark: SparkSession, root: str) -> DataFrame:
     return read_json(spark, root, CHAMBER)
 
 
-def compact(table: DataFrame, path: str, files: int | None = 4) -> DataFrame:
-    """Write a table compactly and read it back."""
+def compact(table: DataFrame, path: str, files: int | None = None) -> DataFrame:
+    """Write a table compactly and read it back; ``files`` fixes the number of files."""
     compact_parquet(table, path, files)
     return table.sparkSession.read.parquet(path)

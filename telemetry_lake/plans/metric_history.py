@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.text import key_part
 from ..functions.times import decode_reversed_key
 from ..operators.joins import join_dimension
+from ..session import work_dir
 from ..sinks.files import materialize, write_high_water_mark
 from ..sinks.ledger import read_ledger, record_processed, staged_files, unprocessed, SOURCE_FILE
 from ..sources.files import read_parquet_tree
@@ -68,9 +67,7 @@ def process_staging(
     newest = newest_batch(spark, base)
     # A base without any row has no newest batch to compare with.
     previous = spark.read.parquet(f"{base}/{newest}") if against == "latest" and newest else read_parquet_tree(spark, base)
-    fresh = materialize(
-        new_rows(fresh_files.drop(SOURCE_FILE), previous), f"{staging.rstrip('/')}-fresh/{uuid.uuid4().hex}"
-    )
+    fresh = materialize(new_rows(fresh_files.drop(SOURCE_FILE), previous), work_dir(spark, "fresh"))
     name = fresh.agg(F.min("RowKey")).first()[0]
     if name is not None:
         fresh.write.mode("overwrite").parquet(f"{base}/{name}")

@@ -21,7 +21,7 @@ def test_device_metrics_are_compacted(spark, tmp_path):
     sample = {"+1.1V_D (V)": "1.099", "Temperature (C)": "n/a", "altitude": 0.5, "gps_fix": 1, "rx-lock": True, "timestamp-S": 1547786073}
     put(tmp_path / "raw/AAE1/a.json", json.dumps(sample) + "\nbroken {\n")
     put(tmp_path / "raw/AAE2/deep/b.json", json.dumps({**sample, "+1.1V_D (V)": "2.5"}) + "\n")
-    table = compaction.compact(compaction.device_metrics_table(spark, str(tmp_path / "raw")), str(tmp_path / "out"))
+    table = compaction.compact(compaction.device_metrics_table(spark, str(tmp_path / "raw")), str(tmp_path / "out"), files=4)
     rows = {(r["ASMSerial"], r["+1_1V_D"], r["Temperature__C"], r["timestamp-S"], r["rx-lock"]) for r in table.collect()}
     assert rows == {("AAE1", 1.099, None, 1547786073, True), ("AAE1", None, None, None, None), ("AAE2", 2.5, None, 1547786073, True)}
     assert len(table.columns) == 54 and len(device_metrics()) == 53

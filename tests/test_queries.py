@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 
 from .oracle import connect, differences
 
-SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
 
 
