@@ -144,8 +144,8 @@ def status_durations(lake: Lake) -> DataFrame:
 #: Samples are clicks, beam switches sign-ups, SNR readings views; the nations make the beam map.
 _SIGNAL_SQL = """
     SELECT s.ts AS time, 'AAE' || s.user_id AS "ASMSerial", s.y AS "Latitude", s.x AS "Longitude",
-        CAST(s.user_id + 1000000 AS INTEGER) AS "ModemSerial", s.beam_name AS "PulseBeamName", s.fwd AS "KALOCovBeamName",
-        s.x / 10 AS "pl-esno (ASMMetrics)", s.snr AS "SNR (Pulse)", CAST(e.n_nationkey / 2.0 AS DOUBLE) AS "C/N (kalo_8w_fwd)",
+        CAST(s.user_id + 1000000 AS INTEGER) AS "ModemSerial", s.beam_name AS "PulseBeamName", s.fwd AS "CoverageBeamName",
+        s.x / 10 AS "pl-esno (ASMMetrics)", s.snr AS "SNR (Pulse)", CAST(e.n_nationkey / 2.0 AS DOUBLE) AS "C/N (coverage)",
         s.y / 2 AS "rx-theta (ASMMetrics)", CAST(s.k * 1000 AS BIGINT) AS "antenna-frequency-rx (ASMMetrics)"
     FROM (
         SELECT m.*, v.value AS snr FROM (

@@ -95,11 +95,11 @@ def write_coverage(lake: Lake, path: str) -> None:
     collections.select("beam", document.alias("value")).write.partitionBy("beam").text(path)
 
 
-COVERAGE = {"fwd_cn": "FWD_CN (dB)", "efficiency": "Efficiency", "KALOCovBeamName": "Beam Info", "modem": "Modem"}
+COVERAGE = {"fwd_cn": "FWD_CN (dB)", "efficiency": "Efficiency", "CoverageBeamName": "Beam Info", "modem": "Modem"}
 
 
 @query(
-    """SELECT beam AS "KALOCovBeamName", CAST(n_nationkey AS VARCHAR) AS efficiency,
+    """SELECT beam AS "CoverageBeamName", CAST(n_nationkey AS VARCHAR) AS efficiency,
         CAST(n_nationkey / 2.0 AS DOUBLE) AS fwd_cn, CAST(NULL AS VARCHAR) AS modem, CAST(6 AS INTEGER) AS corners,
         min(x1) AS min_x, max(y1) AS max_y
     FROM polygon_edges GROUP BY beam, n_nationkey"""
@@ -110,7 +110,7 @@ def scan_geojson(lake: Lake) -> DataFrame:
     features = files.read_geojson(lake.spark, path, COVERAGE)
     ring = F.col("polygon")[0]
     return features.select(
-        "KALOCovBeamName",
+        "CoverageBeamName",
         "efficiency",
         F.col("fwd_cn").cast("double").alias("fwd_cn"),
         "modem",

@@ -43,8 +43,8 @@ def compact_self_tests(spark: SparkSession, root: str, out: str, files: str = ""
 
 
 @job
-def compact_chamber(spark: SparkSession, root: str, out: str) -> None:
-    compaction.compact(compaction.chamber_table(spark, root), out)
+def compact_chamber(spark: SparkSession, root: str, out: str, more: str = "") -> None:
+    compaction.compact(compaction.chamber_table(spark, root, more), out)
 
 
 @job

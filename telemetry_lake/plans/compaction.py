@@ -26,9 +26,12 @@ def self_test_table(spark: SparkSession, root: str, schema: str = SELF_TEST) ->
     return with_path_serial(read_json(spark, root, schema, "DROPMALFORMED", multiline=True), root)
 
 
-def chamber_table(spark: SparkSession, root: str) -> DataFrame:
-    """Chamber measurements under the declared schema, so that differing files still line up."""
-    return read_json(spark, root, CHAMBER)
+def chamber_table(spark: SparkSession, root: str, more: str = "") -> DataFrame:
+    """Chamber measurements under the declared schema, so that differing files still line up.
+
+    ``more`` declares further fields, such as a site's own version stamps (``"lib_version string"``).
+    """
+    return read_json(spark, root, f"{CHAMBER}, {more}" if more else CHAMBER)
 
 
 def compact(table: DataFrame, path: str, files: int | None = None) -> DataFrame:

@@ -20,7 +20,7 @@ COVERAGE_PROPERTIES = {
     "fwd_cn": "FWD_CN (dB)",
     "modCod": "ModCod",
     "modem": "Modem",
-    "KALOCovBeamName": "Beam Info",
+    "CoverageBeamName": "Beam Info",
 }
 #: Property names in the return-coverage GeoJSON.
 RETURN_COVERAGE_PROPERTIES = {
@@ -28,7 +28,7 @@ RETURN_COVERAGE_PROPERTIES = {
     "fwd_cn": "fwd_cn (dB)",
     "modCod": "modCod",
     "modem": "modem",
-    "KALOCovBeamName": "beamInfo",
+    "CoverageBeamName": "beamInfo",
 }
 
 
@@ -68,7 +68,7 @@ def signal_vs_coverage(
     measured = asof_join_all(located, lookups, ["ModemSerial"], "time").drop("beam_time", "snr_time").dropna()
 
     covered = spatial_join(
-        measured, coverage, "longitude", "latitude", "polygon", cell, on=[("FWD", "KALOCovBeamName")]
+        measured, coverage, "longitude", "latitude", "polygon", cell, on=[("FWD", "CoverageBeamName")]
     )
     return covered.select(
         to_utc(F.col("time"), zone).alias("time"),
@@ -77,10 +77,10 @@ def signal_vs_coverage(
         F.col("longitude").alias("Longitude"),
         "ModemSerial",
         "PulseBeamName",
-        "KALOCovBeamName",
+        "CoverageBeamName",
         F.col("pl-esno").alias("pl-esno (ASMMetrics)"),
         F.col("SNR").alias("SNR (Pulse)"),
-        F.col("fwd_cn").try_cast("double").alias("C/N (kalo_8w_fwd)"),
+        F.col("fwd_cn").try_cast("double").alias("C/N (coverage)"),
         F.col("rx-theta").alias("rx-theta (ASMMetrics)"),
         F.col("antenna-frequency-rx").alias("antenna-frequency-rx (ASMMetrics)"),
     )

@@ -134,8 +134,8 @@ _BEAM_SETUP = (
     "mod_power: string>>"
 )
 _CHAMBER_TEXT = (
-    "jira start_time band measurement_type mtennalib_version test_chamber hertzscan_version auxiliary_angle "
-    "testplan asm_firmware_version mtenna_build_number comments data_in_file stop_time File"
+    "jira start_time band measurement_type test_chamber hertzscan_version auxiliary_angle "
+    "testplan asm_firmware_version comments data_in_file stop_time File"
 ).split()
 CHAMBER = (
     ", ".join(f"{name} string" for name in _CHAMBER_TEXT)

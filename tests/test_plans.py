@@ -46,6 +46,14 @@ def test_self_tests_drop_broken_documents(spark, tmp_path):
     assert full["testsuites"][0]["testsuite"][0]["testcase"][0]["data"]["values"] == [1.5, 2.5]
 
 
+def test_chamber_files_that_differ_line_up(spark, tmp_path):
+    put(tmp_path / "raw/a/x.json", '{"jira":"J1","Date":"2019-02-03","Rx":{"wave_equation_parameters":{"phi":1.5}},"lib_version":"7"}\n')
+    put(tmp_path / "raw/b/y.json", '{"data":[{"Point":1,"Ch1_dB":-3.5}],"jira":"J2"}\n')
+    rows = compaction.chamber_table(spark, str(tmp_path / "raw"), "lib_version string").orderBy("jira").collect()
+    assert (str(rows[0]["Date"]), rows[0]["Rx"]["wave_equation_parameters"]["phi"], rows[0]["lib_version"]) == ("2019-02-03", 1.5, "7")
+    assert rows[1]["data"][0]["Ch1_dB"] == -3.5 and rows[1]["Tx"] is None
+
+
 def test_text_nulls(spark, tmp_path):
     put(tmp_path / "t.csv", "1,a\n2,\\N\n\\N,\n")
     rows = sources.read_text_nulls(spark, str(tmp_path / "t.csv"), "n int, s string").collect()
