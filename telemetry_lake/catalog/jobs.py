@@ -222,16 +222,14 @@ def _unfolded(nested: DataFrame, parts: list[str]) -> DataFrame:
 def rollup_breakdown_year(lake: Lake) -> DataFrame:
     """Years with their months, one row per month."""
     records = telemetry_rollups.long_records(lake.device_metrics)
-    years, _ = telemetry_rollups.breakdowns(records)
-    return _unfolded(years, ["year"])
+    return _unfolded(telemetry_rollups.yearly_breakdown(records), ["year"])
 
 
 @query(_breakdown_sql("monthly", "daily", "month", month=True))
 def rollup_breakdown_month(lake: Lake) -> DataFrame:
     """Months with their days, one row per day."""
     records = telemetry_rollups.long_records(lake.device_metrics)
-    _, months = telemetry_rollups.breakdowns(records)
-    return _unfolded(months, ["year", "month"])
+    return _unfolded(telemetry_rollups.monthly_breakdown(records), ["year", "month"])
 
 
 @query(

@@ -91,8 +91,7 @@ def metric_rollups(spark: SparkSession, metrics: str, out: str) -> None:
     records = sinks.materialize(
         telemetry_rollups.long_records(spark.read.parquet(metrics)), work_dir(spark, "records")
     )
-    years, months = telemetry_rollups.breakdowns(records)
-    months = sinks.materialize(months, work_dir(spark, "months"))
+    years, months = telemetry_rollups.yearly_breakdown(records), telemetry_rollups.monthly_breakdown(records)
     sinks.write_nested_periods(years, months, out, telemetry_rollups.KEYS)
 
 

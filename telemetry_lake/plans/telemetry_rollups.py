@@ -50,22 +50,22 @@ def _with_total(records: DataFrame, period: str) -> DataFrame:
     )
 
 
-def _nested(children: DataFrame, period: str, parts: list[str]) -> DataFrame:
+def _nested(records: DataFrame, period: str, part: str, calendar: list[str]) -> DataFrame:
+    """Periods with the ordered list of their parts. The records are aggregated once, to parts."""
     measures = [F.sum("total").alias("total"), F.max("max").alias("max"), F.min("min").alias("min")]
-    summed = nest(children, KEYS, parts, ITEM, measures)
+    summed = nest(_with_total(records, part), KEYS, calendar, ITEM, measures)
     averaged = summed.withColumn("avg", F.col("total") / F.col("records"))
     deviation = pooled_deviation(F.col("breakdown"), F.col("avg"), F.col("records"))
-    return averaged.withColumn("stddev", deviation).withColumn("duration", F.lit(period))
+    return averaged.withColumn("stddev", deviation).select(
+        *KEYS, *calendar, F.lit(period).alias("duration"), *ITEM, "breakdown"
+    )
 
 
-def breakdowns(records: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Years with the ordered list of their months, and months with that of their days.
+def yearly_breakdown(records: DataFrame) -> DataFrame:
+    """Years with the ordered list of their months."""
+    return _nested(records, "year", "month", ["year"])
 
-    Records are aggregated once, to days; months come from days and years from months.
-    """
-    months = _nested(_with_total(records, "day"), "month", ["year", "month"])
-    years = _nested(months.drop("year", "month"), "year", ["year"])
-    return (
-        years.select(*KEYS, "year", "duration", *ITEM, "breakdown"),
-        months.select(*KEYS, "year", "month", "duration", *ITEM, "breakdown"),
-    )
+
+def monthly_breakdown(records: DataFrame) -> DataFrame:
+    """Months with the ordered list of their days."""
+    return _nested(records, "month", "day", ["year", "month"])

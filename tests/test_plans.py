@@ -121,7 +121,7 @@ def test_pooled_statistics_equal_direct_ones(spark):
     rows = [("AAE1", s * day // 3, float((s * 7919) % 1000) + 1e6, float(s % 5)) for s in range(1500)] + [("AAE2", 0, 1.0, 2.0)]
     wide = spark.createDataFrame(rows, "ASMSerial string, `timestamp-S` bigint, altitude double, speed double")
     records = telemetry_rollups.long_records(wide)
-    years, months = telemetry_rollups.breakdowns(records)
+    years, months = telemetry_rollups.yearly_breakdown(records), telemetry_rollups.monthly_breakdown(records)
     for nested, period in ((years, "year"), (months, "month")):
         direct = telemetry_rollups.intervals(records, period).select(*nested.columns[:2], *telemetry_rollups.ITEM)
         got = {tuple(r)[:4]: r for r in nested.select(*direct.columns).collect()}
