@@ -60,19 +60,19 @@ def rollup_day(lake: Lake) -> DataFrame:
     return _interval(lake, "day")
 
 
-def _traffic(lake: Lake) -> DataFrame:
+def traffic(lake: Lake) -> DataFrame:
     properties = usage.terminal_properties(lake.terminal_documents)
     return usage.traffic(lake.metric_history, lake.terminals, lake.metrics, properties)
 
 
 @query('SELECT "ModemSerial", start, "end", records, used FROM usage_months')
 def usage_month(lake: Lake) -> DataFrame:
-    return usage.usage(_traffic(lake), "month")
+    return usage.usage(traffic(lake), "month")
 
 
 @query('SELECT "ModemSerial", start, "end", records, used FROM usage_days')
 def usage_day(lake: Lake) -> DataFrame:
-    return usage.usage(_traffic(lake), "day")
+    return usage.usage(traffic(lake), "day")
 
 
 @query(

@@ -7,10 +7,10 @@ from pyspark.sql import DataFrame, functions as F
 from ..plans import checkins, compaction, metric_history, service_desk, signal, telemetry_rollups, ticket_activity, usage
 from ..sinks import files
 from ..sources import files as sources
-from .aggregates import OPEN_SQL, TWO_WEEKS_SQL, _traffic, average_sql, kept_tickets, rounded
+from .aggregates import OPEN_SQL, TWO_WEEKS_SQL, traffic, average_sql, kept_tickets, rounded
 from .registry import query
 from .scalars import DAYS_SQL, si_sql
-from .scans import COVERAGE, _flat_suites, write_coverage, write_self_tests
+from .scans import COVERAGE, flat_suites, write_coverage, write_self_tests
 from .views import Lake
 
 EXCLUDED = ".*((77)|(42)).*"
@@ -49,7 +49,7 @@ def compact_metrics(lake: Lake) -> DataFrame:
 def compact_selftest(lake: Lake) -> DataFrame:
     root = lake.work_dir("raw-tests")
     write_self_tests(lake, root)
-    return _flat_suites(compaction.compact(compaction.self_test_table(lake.spark, root), lake.work_dir("tests")))
+    return flat_suites(compaction.compact(compaction.self_test_table(lake.spark, root), lake.work_dir("tests")))
 
 
 @query(
@@ -242,7 +242,7 @@ def rollup_breakdown_month(lake: Lake) -> DataFrame:
 )
 def usage_by_remote(lake: Lake) -> DataFrame:
     """Monthly traffic per remote, one row per day of its breakdown."""
-    report = usage.usage_by_remote(_traffic(lake), lake.remotes)
+    report = usage.usage_by_remote(traffic(lake), lake.remotes)
     rows = report.select(
         "RemoteId", "RemoteName", "RemoteSerial", "year", "month", "start", "end", "records",
         "used", "SI", F.posexplode("breakdown").alias("position", "d"),

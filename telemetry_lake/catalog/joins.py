@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..operators import joins
 from ..operators.asof import asof_join
 from ..operators.spatial import spatial_join
-from ..plans import checkins, metric_history, telemetry_rollups
+from ..plans import metric_history, telemetry_rollups
 from .registry import query
 from .views import Lake
 
@@ -128,12 +128,22 @@ def join_anti(lake: Lake) -> DataFrame:
 
 
 @query("""SELECT "ASMSerial", "ASMMetric", "timestamp", data FROM long_records""")
-def join_semi(lake: Lake) -> DataFrame:
-    """Records of the chosen devices. The chosen serials are those with the prefix, so the
+def long_records(lake: Lake) -> DataFrame:
+    """Distinct records of the chosen devices. The chosen serials are those with the prefix, so the
     prefix filter stands for the semi-join with their list."""
     return telemetry_rollups.long_records(lake.device_metrics)
 
 
+@query(
+    """SELECT l_suppkey, l_orderkey, l_linenumber FROM lineitem
+    WHERE l_suppkey IN (SELECT s_suppkey FROM supplier WHERE s_acctbal > 5000)"""
+)
+def join_semi(lake: Lake) -> DataFrame:
+    """Rows whose key is in a list of chosen ones."""
+    chosen = lake.table("supplier").filter(F.col("s_acctbal") > 5000).select(F.col("s_suppkey").alias("l_suppkey"))
+    return joins.with_key_in(lake.table("lineitem").select("l_suppkey", "l_orderkey", "l_linenumber"), chosen, "l_suppkey")
+
+
 @query(
     """SELECT l_suppkey, CAST(l_shipdate AS TIMESTAMP) AS l_shipdate, l_orderkey, l_linenumber
     FROM (SELECT *, rank() OVER (PARTITION BY l_suppkey ORDER BY l_shipdate DESC) AS rk FROM lineitem) WHERE rk = 1"""

@@ -211,10 +211,10 @@ def scan_json_dropmalformed(lake: Lake) -> DataFrame:
     """Multi-line documents under a pruned schema; unreadable ones are dropped."""
     root = lake.work_dir("selftest")
     write_self_tests(lake, root)
-    return _flat_suites(compaction.self_test_table(lake.spark, root))
+    return flat_suites(compaction.self_test_table(lake.spark, root))
 
 
-def _flat_suites(tests: DataFrame) -> DataFrame:
+def flat_suites(tests: DataFrame) -> DataFrame:
     return tests.select(
         "ASMSerial", F.col("antenna-serial-number").alias("antenna"), "customer", "status", F.explode("testsuites").alias("s")
     ).select(

@@ -50,6 +50,11 @@ def without_tagged(df: DataFrame, tags: DataFrame, name: str = "ignore", id_colu
     return df.join(tagged, id_column, "left_anti")
 
 
+def with_key_in(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """Rows whose ``key`` occurs in ``keys``; copies there shrink to one before they are shuffled."""
+    return df.join(keys.select(key).distinct(), key, "left_semi")
+
+
 def join_dimension(facts: DataFrame, dimension: DataFrame, fact_key: str, key: str, columns: dict[str, str]) -> DataFrame:
     """Inner join on differently named keys, taking ``columns`` (old name to new name) along."""
     picked = dimension.select(

@@ -28,8 +28,10 @@ def decode(history: DataFrame) -> DataFrame:
 
 def load(history: DataFrame, terminals: DataFrame, metrics: DataFrame) -> DataFrame:
     """Tidy table: decoded records with terminal and metric attributes."""
-    terminal = {c: {"Name": "TerminalName", "SN": "ModemSerial"}.get(c, c) for c in terminals.columns if c not in ("id", "Status", "Type")}
-    metric = {c: {"Name": "MetricName", "IntId": "MetricInt", "Type": "MetricType"}.get(c, c) for c in metrics.columns if c != "id"}
+    terminal_names = {"Name": "TerminalName", "SN": "ModemSerial"}
+    metric_names = {"Name": "MetricName", "IntId": "MetricInt", "Type": "MetricType"}
+    terminal = {c: terminal_names.get(c, c) for c in terminals.columns if c not in ("id", "Status", "Type")}
+    metric = {c: metric_names.get(c, c) for c in metrics.columns if c != "id"}
     records = decode(history).drop("TerminalPropertyId", "Type")
     with_terminal = join_dimension(records, terminals, "TerminalId", "id", terminal).drop("TerminalId")
     return join_dimension(with_terminal, metrics, "MetricId", "id", metric).drop("MetricId")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.numbers import days, format_days, round_half_down
 from ..functions.times import elapsed_seconds, year_week
+from ..operators.joins import with_key_in
 from ..schemas import TICKET_PRIORITIES
 
 LAST_N = (15, 50, 200)
@@ -87,10 +88,9 @@ def tickets_by_account(tickets: DataFrame, accounts: DataFrame, excluded: str) -
 def account_list(tickets: DataFrame, accounts: DataFrame, excluded: str) -> DataFrame:
     """Accounts that have tickets, by name.
 
-    A semi-join on the distinct account ids: a busy account shrinks to one row before the shuffle.
+    A semi-join on the account ids: a busy account shrinks to one row before the shuffle.
     """
-    active = tickets.select("AccountId").distinct()
-    listed = _named(accounts, excluded).join(active, "AccountId", "left_semi").distinct()
+    listed = with_key_in(_named(accounts, excluded), tickets, "AccountId").distinct()
     return listed.orderBy("AccountName", "AccountId")
 
 
