@@ -50,6 +50,7 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
         (self.mark,) = self._ids(self.MARK)
+        self.marks = {ord(c): np.array(self._ids(c), "<u4").tobytes() for c in ".,"}
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
@@ -67,12 +68,24 @@ class WordTokenizer:
             out += [raw[4 * a + 4 * (k > 0) : 4 * b] for k, (a, b) in enumerate(zip(edges, edges[1:]))]
         return out
 
+    def _new_words(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Ids of unknown words. A full stop or comma after a letter is a token of its own."""
+        stems = {w: w[:-1] if w[-1] in b".," and w[-2:-1].isalpha() else w for w in words}
+        wanted = list(set(stems.values()).difference(self.known))
+        found = dict(zip(wanted, self._encode_words(wanted)))
+        for w, stem in stems.items():
+            if stem is not w:
+                found[w] = (found[stem] if stem in found else self.known[stem]) + self.marks[w[-1]]
+        return found
+
     def encode(self, text: bytes) -> bytes:
         """Little-endian unsigned 32-bit ids."""
+        if b"<|" not in text:  # else lower case might make a special token of ordinary text
+            text = text.lower()
         words, known = text.split(), self.known
-        new = [w for w in dict.fromkeys(words) if w not in known]
+        new = set(words).difference(known)
         if new:
-            fresh = dict(zip(new, self._encode_words(new)))
+            fresh = self._new_words(new)
             if len(known) + len(fresh) > CACHED_WORDS:
                 return b"".join([known[w] if w in known else fresh[w] for w in words])
             known.update(fresh)
