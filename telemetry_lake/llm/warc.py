@@ -124,24 +124,23 @@ def write_archives(pages: DataFrame, path: str) -> None:
     pages: each row's html is shuffled once, by id, which spreads copies over all tasks.
     """
     digest = F.sha1(F.coalesce(F.col("html"), F.lit("")))
-    payloads = pages.select("page_id", "url", "html", digest.alias("sha"))
+    payloads = pages.select("page_id", "url", "html", digest.alias("sha")).withColumn("k", F.xxhash64("page_id", "sha"))
     firsts = payloads.groupBy("sha").agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("n"))
     copies = firsts.filter("n > 1").select("sha", "first")
-    ids = payloads.select("page_id", "sha").join(copies, "sha").distinct().withColumnRenamed("page_id", "id").withColumnRenamed("sha", "sha_")
+    ids = payloads.select("k", "page_id", "sha").join(copies, "sha").distinct()
+    ids = ids.select("k", F.col("page_id").alias("id"), F.col("sha").alias("sha_"), "first").alias("i")
     total = pages.agg(F.coalesce(F.sum(F.octet_length("html")), F.lit(0))).first()[0]
     parts = max(1, -(-total // FILE_BYTES), pages.sparkSession.sparkContext.defaultParallelism)
-    same = F.col("page_id").eqNullSafe(F.col("id")) & (F.col("sha") == F.col("sha_"))
-    rows = payloads.join(ids, same, "left")
+    # One shuffle by k serves the join, the window and the files.
+    rows = payloads.repartition(parts, "k").alias("p")
+    same = (F.col("p.k") == F.col("i.k")) & F.col("page_id").eqNullSafe(F.col("id")) & (F.col("sha") == F.col("sha_"))
+    rows = rows.join(ids, same, "left").drop(F.col("i.k"))
     # Rows that repeat both id and payload: one of them is the response.
-    number = F.row_number().over(Window.partitionBy("page_id", "sha").orderBy("url"))
+    number = F.row_number().over(Window.partitionBy("k", "page_id", "sha").orderBy("url"))
     revisit = F.col("sha_").isNotNull() & (~F.col("first").eqNullSafe(F.col("page_id")) | (number > 1))
     rows = rows.withColumn("revisit", revisit).withColumn("refers_to", F.when(F.col("revisit"), F.col("first")))
-    frames = (
-        rows.withColumn("digest", F.col("sha"))
-        .select("page_id", "url", "html", "digest", "refers_to", "revisit")
-        .repartition(parts)
-        .mapInArrow(_with_digest, "frame binary")
-    )
+    records = rows.select("page_id", "url", "html", F.col("sha").alias("digest"), "refers_to", "revisit")
+    frames = records.mapInArrow(_with_digest, "frame binary")
     frames.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", SEPARATOR).text(path)
 
 
