@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import licenses, mixing, near_dedup, packing, quality, warc
+from . import licenses, mixing, near_dedup, packing, quality, substrings, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -63,3 +63,8 @@ def op6_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.dedup(table(spark, sf_dir, "documents"))
