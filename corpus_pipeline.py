@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from telemetry_lake.llm import mixing, quality
+from telemetry_lake.llm import mixing, near_dedup, packing, quality, substrings
 from telemetry_lake.llm.store import written
 
 #: Not expressible in SQL: the rules are learned. tests/llm holds the stages against brute force.
@@ -17,14 +17,32 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.kept_documents(docs, quality.fit(docs, labels))
 
 
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return near_dedup.representatives(docs)
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without passages that start earlier; ``n_chars`` follows the text."""
+    return substrings.without_repeats(docs).withColumn("n_chars", F.char_length("text").cast("bigint"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix of sources takes them."""
     return mixing.mixed_documents(docs)
 
 
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of the documents with their places in training sequences."""
+    return packing.pack(docs, packing.default_tokenizer())
+
+
 STAGES = [
     ("quality rules", keep_good),
+    ("MinHash near-dedup", one_of_each),
+    ("substring dedup", cut_repeats),
     ("mixing sources to target weights", mix_sources),
+    ("best-fit packing", packed),
 ]
 
 
