@@ -152,7 +152,7 @@ def _ranges(doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return doc[at], start[at], start[np.append(at[1:], len(doc)) - 1]
 
 
-LOCAL = "symbol long, r long, o long, lo int, hi int"
+LOCAL = "symbol long, once int, r long, o long, lo int, hi int"
 
 
 def _settle(held: list[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
@@ -177,8 +177,8 @@ def _settle(held: list[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
     later[order[1:]] = again
     d, lo, hi = _ranges(doc[later], start[later])
     yield pa.RecordBatch.from_arrays(
-        [pa.nulls(len(d), pa.int64()), pa.array(r[d]), pa.array(o[d]), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))],
-        names=["symbol", "r", "o", "lo", "hi"],
+        [pa.nulls(len(d), pa.int64()), pa.nulls(len(d), pa.int32()), pa.array(r[d]), pa.array(o[d]), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))],
+        names=["symbol", "once", "r", "o", "lo", "hi"],
     )
     # Each symbol once for each text.
     d, s = doc[~later], symbol[~later]
@@ -190,8 +190,14 @@ def _settle(held: list[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
     new = np.ones(len(d), bool)
     new[1:] = (d[1:] != d[:-1]) | (s[1:] != s[:-1])
     d, s = d[new], s[new]
+    # It counts once for all texts: what they share was settled above.
+    once = np.ones(len(d), np.int32)
+    once[1:] = s[1:] != s[:-1]
     none = pa.nulls(len(d), pa.int32())
-    yield pa.RecordBatch.from_arrays([pa.array(s.view(np.int64)), pa.array(r[d]), pa.array(o[d]), none, none], names=["symbol", "r", "o", "lo", "hi"])
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(s.view(np.int64)), pa.array(once), pa.array(r[d]), pa.nulls(len(d), pa.int64()), none, none],
+        names=["symbol", "once", "r", "o", "lo", "hi"],
+    )
 
 
 def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,8 +242,8 @@ def repeats(docs: DataFrame, texts: DataFrame) -> DataFrame:
     ``texts`` has ``o``, ``r`` and ``text`` of every row, partitioned by ``r``; ``docs`` the same, in any order.
     """
     local = written(docs.select("o", "r", "text").mapInArrow(_local, LOCAL), "substring-symbols")
-    symbols = local.filter("symbol IS NOT NULL").select("symbol", "r").repartition("symbol")
-    several = symbols.groupBy("symbol").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("symbol")
+    symbols = local.filter("symbol IS NOT NULL").select("symbol", "once", "r").repartition("symbol")
+    several = symbols.groupBy("symbol").agg(F.sum("once").alias("n")).filter("n > 1").select("symbol")
     wanted = symbols.join(several, "symbol", "left_semi").groupBy("r").agg(F.collect_set("symbol").alias("symbols"))
     windows = texts.join(wanted, "r").select("o", "r", "text", "symbols").mapInArrow(_candidates, "w1 long, w2 long, o long, r long, start int")
     # Equal rows of one text tie and are no repeats of each other.
