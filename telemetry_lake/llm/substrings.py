@@ -9,7 +9,7 @@ round has to gather symbols to number them.
 
 Of the symbols whose whole range of sight lies within a window of :data:`WINDOW` words, the highest
 and then smallest stands for the window, so equal windows have equal symbols. Only symbols that occur
-in several places lead on to the windows themselves, which are compared by 128-bit hashes. What
+in several places lead on to the windows themselves, which are compared by 96-bit hashes. What
 repeats within a task is settled there and does not travel: a passage with very many copies arrives
 in the shuffles once for each block of texts.
 """
@@ -30,7 +30,7 @@ from .store import written
 WINDOW = 20
 ROUNDS = 2
 #: Bytes of text whose windows one task compares at once.
-LOCAL_BYTES = 16 << 20
+LOCAL_BYTES = 12 << 20
 FAR = 1 << 40
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _P, _Q = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
@@ -112,7 +112,7 @@ class Windows:
         at = np.flatnonzero(np.arange(n) + WINDOW <= ends)
         self.doc, self.start, self.symbol = words.docs[at], at - firsts[at], best[at]
         self.w1 = mix64((one[at + WINDOW] - one[at]) * down[at])
-        self.w2 = mix64((two[at + WINDOW] - two[at]) * down2[at])
+        self.w2 = (mix64((two[at + WINDOW] - two[at]) * down2[at]) >> np.uint64(32)).astype(np.uint32)
 
     @staticmethod
     def _cover(best, level, number, sums, down, firsts, ends) -> None:
@@ -165,11 +165,12 @@ def _settle(held: list[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
             size += len(held[n][1])
             n += 1
         w = Windows([t for _, t in held[at:n]])
-        parts.append((w.doc + at, w.start, w.symbol, w.w1, w.w2))
+        parts.append(((w.doc + at).astype(np.int32), w.start.astype(np.int32), w.symbol, w.w1, w.w2))
         at = n
     if not parts:
         return
     doc, start, symbol, w1, w2 = (np.concatenate(c) for c in zip(*parts))
+    parts.clear()
     o, r = (np.array([key[k] for key, _ in held], np.int64) for k in (0, 1))
     order = np.argsort(w1, kind="stable")
     again = (w1[order][1:] == w1[order][:-1]) & (w2[order][1:] == w2[order][:-1])
@@ -223,7 +224,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = w.doc[keep]
         o, r = np.array(piece.column("o")), np.array(piece.column("r"))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(x) for x in (w.w1[keep].view(np.int64), w.w2[keep].view(np.int64), o[d], r[d], w.start[keep].astype(np.int32))],
+            [pa.array(x) for x in (w.w1[keep].view(np.int64), w.w2[keep].view(np.int32), o[d], r[d], w.start[keep].astype(np.int32))],
             names=["w1", "w2", "o", "r", "start"],
         )
 
@@ -237,27 +238,30 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def repeats(docs: DataFrame, texts: DataFrame) -> DataFrame:
-    """``r``, ``o``, ``ranges`` (list of first and last start) of the windows that also start earlier.
+    """``r``, ``o``, ``ranges`` of the windows that also start earlier: a list of first starts, shifted
+    by 32 bits, plus last starts.
 
     ``texts`` has ``o``, ``r`` and ``text`` of every row, partitioned by ``r``; ``docs`` the same, in any order.
     """
     local = written(docs.select("o", "r", "text").mapInArrow(_local, LOCAL), "substring-symbols")
-    symbols = local.filter("symbol IS NOT NULL").select("symbol", "once", "r").repartition("symbol")
-    several = symbols.groupBy("symbol").agg(F.sum("once").alias("n")).filter("n > 1").select("symbol")
-    wanted = symbols.join(several, "symbol", "left_semi").groupBy("r").agg(F.collect_set("symbol").alias("symbols"))
-    windows = texts.join(wanted, "r").select("o", "r", "text", "symbols").mapInArrow(_candidates, "w1 long, w2 long, o long, r long, start int")
+    # A symbol has a few rows for each block of texts at most, so its group stays small.
+    blocks = F.sum("once").over(Window.partitionBy("symbol"))
+    shared = local.filter("symbol IS NOT NULL").select("symbol", "r", blocks.alias("blocks")).filter("blocks > 1")
+    wanted = shared.groupBy("r").agg(F.collect_set("symbol").alias("symbols"))
+    windows = texts.join(wanted, "r").select("o", "r", "text", "symbols").mapInArrow(_candidates, "w1 long, w2 int, o long, r long, start int")
     # Equal rows of one text tie and are no repeats of each other.
     place = F.rank().over(Window.partitionBy("w1", "w2").orderBy("o", "r", "start"))
     later = windows.withColumn("place", place).filter("place > 1").select("r", "o", F.col("start").alias("lo"), F.col("start").alias("hi"))
     found = local.filter("symbol IS NULL").select("r", "o", "lo", "hi").unionByName(later)
-    return found.groupBy("r", "o").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges"))
+    both = F.shiftleft(F.col("lo").cast("long"), 32) + F.col("hi")
+    return found.groupBy("r", "o").agg(F.collect_list(both).alias("ranges"))
 
 
-def _covered(n: int, ranges: list[dict] | None) -> np.ndarray:
+def _covered(n: int, ranges: list[int] | None) -> np.ndarray:
     step = np.zeros(n + 1, np.int64)
-    for x in ranges or ():
-        step[x["lo"]] += 1
-        step[x["hi"] + WINDOW] -= 1
+    both = np.array(ranges or [], np.int64)
+    np.add.at(step, both >> 32, 1)
+    np.add.at(step, (both & 0xFFFFFFFF) + WINDOW, -1)
     return np.cumsum(step[:-1]) > 0
 
 
