@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from telemetry_lake.llm import mixing, near_dedup, packing, quality, substrings
-from telemetry_lake.llm.store import written
+from telemetry_lake.llm.store import ship, written
 
 #: Not expressible in SQL: the rules are learned. tests/llm holds the stages against brute force.
 ORACLE_SQL = None
@@ -47,6 +47,7 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")

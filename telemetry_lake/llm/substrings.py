@@ -221,6 +221,11 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         edges = np.searchsorted(w.doc, np.arange(len(texts) + 1))
         for k, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
             keep[a:b] = np.isin(w.symbol[a:b], np.array(lists[k].values).view(np.uint64))
+        # What repeats within one text was settled with it.
+        by = np.flatnonzero(keep)
+        by = by[np.lexsort((w.w2[by], w.w1[by], w.doc[by]))]
+        again = (w.doc[by][1:] == w.doc[by][:-1]) & (w.w1[by][1:] == w.w1[by][:-1]) & (w.w2[by][1:] == w.w2[by][:-1])
+        keep[by[1:][again]] = False
         d = w.doc[keep]
         o, r = np.array(piece.column("o")), np.array(piece.column("r"))
         yield pa.RecordBatch.from_arrays(
@@ -241,20 +246,21 @@ def repeats(docs: DataFrame, texts: DataFrame) -> DataFrame:
     """``r``, ``o``, ``ranges`` of the windows that also start earlier: a list of first starts, shifted
     by 32 bits, plus last starts.
 
-    ``texts`` has ``o``, ``r`` and ``text`` of every row, partitioned by ``r``; ``docs`` the same, in any order.
+    ``docs`` has ``o``, ``r`` and ``text``, ``texts`` the same rows partitioned by ``r``. All its columns are
+    read, for the sake of one shuffle that the caller uses again.
     """
     local = written(docs.select("o", "r", "text").mapInArrow(_local, LOCAL), "substring-symbols")
     # A symbol has a few rows for each block of texts at most, so its group stays small.
     blocks = F.sum("once").over(Window.partitionBy("symbol"))
     shared = local.filter("symbol IS NOT NULL").select("symbol", "r", blocks.alias("blocks")).filter("blocks > 1")
     wanted = shared.groupBy("r").agg(F.collect_set("symbol").alias("symbols"))
-    windows = texts.join(wanted, "r").select("o", "r", "text", "symbols").mapInArrow(_candidates, "w1 long, w2 int, o long, r long, start int")
+    windows = texts.join(wanted, "r").mapInArrow(_candidates, "w1 long, w2 int, o long, r long, start int")
     # Equal rows of one text tie and are no repeats of each other.
     place = F.rank().over(Window.partitionBy("w1", "w2").orderBy("o", "r", "start"))
     later = windows.withColumn("place", place).filter("place > 1").select("r", "o", F.col("start").alias("lo"), F.col("start").alias("hi"))
     found = local.filter("symbol IS NULL").select("r", "o", "lo", "hi").unionByName(later)
     both = F.shiftleft(F.col("lo").cast("long"), 32) + F.col("hi")
-    return found.groupBy("r", "o").agg(F.collect_list(both).alias("ranges"))
+    return found.repartition("r").groupBy("r", "o").agg(F.collect_list(both).alias("ranges"))
 
 
 def _covered(n: int, ranges: list[int] | None) -> np.ndarray:
@@ -306,8 +312,10 @@ def _with_ranges(docs: DataFrame) -> DataFrame:
     """Rows of ``docs`` with ``o``, ``r`` and ``ranges``. Texts are shuffled once, for both joins."""
     rows = keyed(docs)
     spread = rows.repartition("r")
-    found = repeats(rows, spread.select("o", "r", "text")).withColumnsRenamed({"r": "r_", "o": "o_"})
-    return spread.join(found, (spread["r"] == found["r_"]) & (spread["o"] == found["o_"]), "left").drop("r_", "o_")
+    found = repeats(rows, spread).withColumnsRenamed({"r": "r_", "o": "o_"})
+    # o only guards against equal hashes. As a second key it would ask for another shuffle.
+    same_o = ~((spread["o"] < found["o_"]) | (spread["o"] > found["o_"]))
+    return spread.join(found, (spread["r"] == found["r_"]) & same_o, "left").drop("r_", "o_")
 
 
 def dedup(docs: DataFrame) -> DataFrame:
