@@ -35,5 +35,5 @@ def written(df: DataFrame, label: str) -> DataFrame:
     folder, and a failed task writes only its own part again.
     """
     path = work_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -260,7 +260,8 @@ def repeats(docs: DataFrame, texts: DataFrame) -> DataFrame:
     later = windows.withColumn("place", place).filter("place > 1").select("r", "o", F.col("start").alias("lo"), F.col("start").alias("hi"))
     found = local.filter("symbol IS NULL").select("r", "o", "lo", "hi").unionByName(later)
     both = F.shiftleft(F.col("lo").cast("long"), 32) + F.col("hi")
-    return found.repartition("r").groupBy("r", "o").agg(F.collect_list(both).alias("ranges"))
+    found = found.select("r", "o", both.alias("both")).repartition("r")
+    return found.groupBy("r", "o").agg(F.collect_list("both").alias("ranges"))
 
 
 def _covered(n: int, ranges: list[int] | None) -> np.ndarray:
