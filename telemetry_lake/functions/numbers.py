@@ -33,7 +33,10 @@ def round_half_down(value: Column, digits: int = 1) -> Column:
     exact = value.try_cast("decimal(30,15)")
     steps = F.ceil(F.abs(exact) * scale - F.lit(0.5).cast("decimal(2,1)"))
     signed = F.when(exact < 0, -steps).otherwise(steps)
-    return (signed / scale).cast("float")
+    number = value.cast("double")
+    # So large a double has no decimals to round; NaN stays.
+    as_it_is = F.isnan(number) | (F.abs(number) >= float(2**53) / scale)
+    return F.when(as_it_is, number).otherwise((signed / scale).cast("double")).cast("float")
 
 
 def days(seconds: Column) -> Column:

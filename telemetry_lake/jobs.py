@@ -148,7 +148,7 @@ def ticket_reports(spark: SparkSession, tickets: str, tags: str, out: str) -> No
 def account_reports(spark: SparkSession, tickets: str, tags: str, accounts: str, excluded: str, out: str) -> None:
     kept, customers = _tickets(spark, tickets, tags), spark.read.parquet(accounts)
     sinks.write_report(service_desk.resolution_by_account(kept, customers, excluded), f"{out}/resolution-time-by-account")
-    sinks.write_partitioned(service_desk.tickets_by_account(kept, customers, excluded), f"{out}/by-account", ["AccountId"])
+    sinks.write_partitioned(service_desk.tickets_by_account(kept, customers, excluded), f"{out}/by-account", ["AccountId"], order=["Number"])
     sinks.write_report(service_desk.account_list(kept, customers, excluded), f"{out}/account-list")
 
 

@@ -7,6 +7,8 @@ the shuffle as one row per task and period.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -89,6 +91,12 @@ def pooled_deviation(items: Column, mean: Column, records: Column) -> Column:
 def with_group_stats(df: DataFrame, keys: Sequence[str], measures: Sequence[Column]) -> DataFrame:
     """Add per-group aggregates to every row.
 
-    Aggregates first and joins back: unlike a window, no group is held in one task.
+    Aggregates first and joins back: unlike a window, no group is held in one task. A missing key
+    is a group like any other.
     """
-    return df.join(df.groupBy(*keys).agg(*measures), list(keys))
+    named = {f"__{k}": k for k in keys}
+    stats = df.groupBy(*[F.col(k).alias(own) for own, k in named.items()]).agg(*measures)
+    same = [df[k].eqNullSafe(stats[own]) for own, k in named.items()]
+    others = [c for c in df.columns if c not in keys]
+    added = [c for c in stats.columns if c not in named]
+    return df.join(stats, reduce(and_, same)).select(*[df[c] for c in [*keys, *others]], *[stats[c] for c in added])

@@ -45,12 +45,22 @@ def new_rows(staged: DataFrame, known: DataFrame) -> DataFrame:
     return staged.distinct().subtract(known.select(*staged.columns))
 
 
+def batch_names(spark: SparkSession, base: str) -> list[str]:
+    """Names of the batch folders below ``base``, from a listing; none if it does not exist yet."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(base)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return []
+    return sorted(x.getPath().getName() for x in fs.listStatus(path) if x.isDirectory() and not x.getPath().getName().startswith(("_", ".")))
+
+
 def newest_batch(spark: SparkSession, base: str) -> str | None:
     """Name of the newest batch folder below ``base`` (reversed keys: the smallest name)."""
-    folder = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
-    # Only file names are needed, so the scan reads no column.
-    names = read_parquet_tree(spark, base).select(folder.alias("batch"))
-    return names.agg(F.min("batch")).first()[0]
+    return min(batch_names(spark, base), default=None)
+
+
+RUNS = "run string, newest string, name string"
 
 
 def process_staging(
@@ -58,20 +68,40 @@ def process_staging(
 ) -> str | None:
     """Append the new rows of ``staging`` to ``base`` as one batch named by its smallest row key.
 
-    ``against`` compares with the ``latest`` batch or with ``all`` of them. Files that the ledger
-    lists are left out, so a run that is repeated after a crash adds nothing twice. Returns
-    the batch name, or None when nothing was new.
+    ``against`` compares with the ``latest`` batch or with ``all`` of them; a base that does not exist
+    yet has none. Files that the ledger lists are left out. If a batch of that name is there already,
+    the run's own id is added to the name. The id follows from the set of staged files, and what the
+    run compares with and writes to is noted before it writes: repeated after a crash, at whatever
+    point, it writes the same batch again and touches no other. Returns the batch name, or None when
+    nothing was new.
     """
     if against not in ("latest", "all"):
         raise ValueError(f"against must be 'latest' or 'all', not {against!r}")
     staged = staged_files(read_parquet_tree(spark, staging))
     fresh_files = unprocessed(staged, read_ledger(spark, ledger))
-    newest = newest_batch(spark, base)
-    # A base without any row has no newest batch to compare with.
-    previous = spark.read.parquet(f"{base}/{newest}") if against == "latest" and newest else read_parquet_tree(spark, base)
-    fresh = materialize(new_rows(fresh_files.drop(SOURCE_FILE), previous), work_dir(spark, "fresh"))
+    files = fresh_files.select(F.xxhash64(SOURCE_FILE).alias("h")).distinct()
+    many, mark = files.agg(F.count("h"), F.coalesce(F.bit_xor("h"), F.lit(0))).first()
+    run = f"{many}-{mark & 0xFFFFFFFFFFFFFFFF:016x}"
+    notes = f"{ledger.rstrip('/')}-runs"
+    spark.createDataFrame([], RUNS).write.mode("ignore").parquet(notes)
+    noted = spark.read.schema(RUNS).parquet(notes).filter(F.col("run") == run).first()
+    own = noted["name"] if noted else None
+    names = [n for n in batch_names(spark, base) if n != own]
+    newest = noted["newest"] if noted else min(names, default=None)
+    compared = ([newest] if newest else []) if against == "latest" else names
+    rows = fresh_files.drop(SOURCE_FILE)
+    if compared:
+        rows = new_rows(rows, spark.read.parquet(*[f"{base}/{n}" for n in compared]))
+    else:
+        rows = rows.distinct()
+    fresh = materialize(rows, work_dir(spark, "fresh"))
     name = fresh.agg(F.min("RowKey")).first()[0]
     if name is not None:
+        if noted:
+            name = own
+        else:
+            name = f"{name}-{run}" if name in names else name
+            spark.createDataFrame([(run, newest, name)], RUNS).write.mode("append").parquet(notes)
         fresh.write.mode("overwrite").parquet(f"{base}/{name}")
     record_processed(fresh_files, ledger)
     return name

@@ -32,15 +32,12 @@ def _days() -> Column:
 
 
 def status_priority(tickets: DataFrame) -> DataFrame:
-    """Tickets per status and priority; a missing priority counts as normal."""
-    return (
-        tickets.select("Status", "Priority")
-        .fillna("normal", ["Priority"])
-        .groupBy("Status")
-        .pivot("Priority", TICKET_PRIORITIES)
-        .count()
-        .fillna(0, TICKET_PRIORITIES)
-    )
+    """Tickets per status and priority; a missing priority counts as normal. The four usual
+    priorities have a column each, and so has any other that occurs."""
+    named = tickets.select("Status", "Priority").fillna("normal", ["Priority"])
+    others = named.filter(~F.col("Priority").isin(*TICKET_PRIORITIES)).select("Priority").distinct()
+    columns = [*TICKET_PRIORITIES, *sorted(r["Priority"] for r in others.collect())]
+    return named.groupBy("Status").pivot("Priority", columns).count().fillna(0, columns)
 
 
 def last_created(tickets: DataFrame, n: int = 20) -> DataFrame:

@@ -28,10 +28,12 @@ def write_report(df: DataFrame, path: str, single_file: bool = False) -> None:
     (df.coalesce(1) if single_file else df).write.mode("overwrite").json(path)
 
 
-def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite") -> None:
+def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite", order: Sequence[str] = ()) -> None:
     """JSON in ``by=value`` folders. Rows of a folder meet first, so it gets few files; a folder
-    with very many rows is split by adaptive execution instead of filling one task."""
-    df.hint("rebalance", *by).write.mode(mode).partitionBy(*by).json(path)
+    with very many rows is split by adaptive execution instead of filling one task. Each file is
+    sorted by ``order``."""
+    met = df.hint("rebalance", *by)
+    (met.sortWithinPartitions(*by, *order) if order else met).write.mode(mode).partitionBy(*by).json(path)
 
 
 def write_nested_periods(yearly: DataFrame, monthly: DataFrame, root: str, keys: Sequence[str]) -> tuple[str, str]:

@@ -68,9 +68,19 @@ def read_geojson(spark: SparkSession, path: str, properties: Mapping[str, str])
 
 
 def serial_from_path(root: str) -> Column:
-    """First folder below ``root`` of the file a row came from (``name=value`` folders give the value)."""
-    below = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:/*", "/", root).rstrip("/")
-    return F.regexp_extract(F.col("_metadata.file_path"), rf"\Q{below}\E/(?:[^/=]+=)?([^/]+)/", 1)
+    """First folder below ``root`` of the file a row came from (``name=value`` folders give the value).
+
+    ``root`` may hold ``*`` and ``?``. Paths are read decoded. A row that is not below a folder of
+    ``root`` fails the query.
+    """
+    scheme = re.match(r"[A-Za-z][A-Za-z0-9+.-]*:/*", root)
+    below = root[scheme.end() :] if scheme else root
+    wild = {"*": "[^/]*", "?": "[^/]"}
+    pattern = "".join(wild.get(c) or re.escape(c) for c in below.strip("/"))
+    start = r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?/*" if scheme or root.startswith("/") else "^(?:.*/)?"
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    serial = F.regexp_extract(path, rf"{start}{pattern}/(?:[^/=]+=)?([^/]+)/", 1)
+    return F.when(serial != "", serial).otherwise(F.raise_error(F.concat(F.lit("no serial in "), path)))
 
 
 def with_path_serial(df: DataFrame, root: str, column: str = "ASMSerial") -> DataFrame:

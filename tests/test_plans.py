@@ -6,10 +6,13 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from telemetry_lake.functions.numbers import round_half_down
+from telemetry_lake.operators import rollups
 from telemetry_lake.plans import checkins, compaction, metric_history, service_desk, telemetry_rollups, ticket_activity, usage
 from telemetry_lake.schemas import QUOTED_METRICS, SELF_TEST_FULL, device_metrics
 from telemetry_lake.sinks import files
 from telemetry_lake.sources import files as sources
+from telemetry_lake.sources.files import with_path_serial
 
 
 def put(path, text):
@@ -103,6 +106,69 @@ def test_increment_against_latest(spark, history):
     assert metric_history.newest_batch(spark, base) == "500"
 
 
+def test_late_row_does_not_replace_a_batch(spark, history):
+    base, staging, ledger = history
+    stage(spark, staging, [("z", "650", 3.0)])
+    assert metric_history.process_staging(spark, staging, base, ledger) == "650"
+    stage(spark, staging, [("late", "650", 9.0)])
+    name = metric_history.process_staging(spark, staging, base, ledger)
+    assert name.startswith("650-")
+    assert keys(spark, base, "650") == ["650"] and keys(spark, base, name) == ["650"]
+
+
+def test_repeat_before_the_ledger_was_written(spark, history, monkeypatch):
+    base, staging, ledger = history
+    stage(spark, staging, [("c", "700", 3.0), ("d", "600", 4.0), ("b", "800", None)])
+
+    def crash(*_):
+        raise RuntimeError("crash")
+
+    with monkeypatch.context() as m:
+        m.setattr(metric_history, "record_processed", crash)
+        with pytest.raises(RuntimeError):
+            metric_history.process_staging(spark, staging, base, ledger)
+    before = keys(spark, base, "600")
+    names = metric_history.batch_names(spark, base)
+    assert metric_history.process_staging(spark, staging, base, ledger) == "600"
+    assert keys(spark, base, "600") == before and metric_history.batch_names(spark, base) == names
+
+
+def test_first_ingestion(spark, history, tmp_path):
+    _, staging, ledger = history
+    stage(spark, staging, [("c", "700", 3.0), ("c", "700", 3.0)])
+    base = str(tmp_path / "new-base")
+    assert metric_history.process_staging(spark, staging, base, ledger) == "700"
+    assert keys(spark, base, "700") == ["700"]
+
+
+def test_other_priorities_have_a_column(spark):
+    tickets = spark.createDataFrame([("open", "critical"), ("open", None), ("closed", "low")], "Status string, Priority string")
+    rows = {r["Status"]: r for r in service_desk.status_priority(tickets).collect()}
+    assert rows["open"]["critical"] == 1 and rows["open"]["normal"] == 1 and rows["closed"]["critical"] == 0
+
+
+def test_group_stats_keep_missing_keys(spark):
+    df = spark.createDataFrame([(None, 1), ("a", 2), (None, 3)], "k string, v int")
+    rows = rollups.with_group_stats(df, ["k"], [F.sum("v").alias("total")]).collect()
+    assert sorted((str(r["k"]), r["v"], r["total"]) for r in rows) == [("None", 1, 4), ("None", 3, 4), ("a", 2, 2)]
+
+
+def test_large_values_stay(spark):
+    df = spark.createDataFrame([(2e15,), (float("nan"),), (0.25,), (None,), (-1e300,)], "v double")
+    got = [r[0] for r in df.select(round_half_down(F.col("v"))).collect()]
+    assert got[0] == pytest.approx(2e15, rel=1e-6) and got[1] != got[1] and got[2] == pytest.approx(0.2) and got[3] is None and got[4] < -3e38
+
+
+def test_serial_of_odd_paths(spark, tmp_path):
+    root = tmp_path / "a root+x"
+    spark.range(1).write.parquet(f"{root}/dev 1/files")
+    for given in (str(root), str(tmp_path / "a*x")):
+        scan = spark.read.option("recursiveFileLookup", "true").parquet(str(root))
+        assert with_path_serial(scan, given).first()["ASMSerial"] == "dev 1"
+    with pytest.raises(Exception, match="no serial"):
+        with_path_serial(spark.read.parquet(f"{root}/dev 1/files"), "/elsewhere").collect()
+
+
 def test_increment_against_all(spark, history):
     base, staging, ledger = history
     stage(spark, staging, [("b", "800", None), ("d", "600", 4.0)])
