@@ -133,7 +133,9 @@ def write_archives(pages: DataFrame, path: str) -> None:
     parts = max(1, -(-total // FILE_BYTES), pages.sparkSession.sparkContext.defaultParallelism)
     # One shuffle by k serves the join, the window and the files.
     rows = payloads.repartition(parts, "k").alias("p")
-    same = (F.col("p.k") == F.col("i.k")) & F.col("page_id").eqNullSafe(F.col("id")) & (F.col("sha") == F.col("sha_"))
+    # The other columns only guard against equal hashes. As further keys they would ask for another shuffle.
+    differ = lambda a, b: F.coalesce((F.col(a) < F.col(b)) | (F.col(a) > F.col(b)), F.lit(False))
+    same = (F.col("p.k") == F.col("i.k")) & ~differ("page_id", "id") & ~differ("sha", "sha_")
     rows = rows.join(ids, same, "left").drop(F.col("i.k"))
     # Rows that repeat both id and payload: one of them is the response.
     number = F.row_number().over(Window.partitionBy("k", "page_id", "sha").orderBy("url"))
