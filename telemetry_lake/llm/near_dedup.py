@@ -148,34 +148,41 @@ def links_among(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFr
     return written(both.select("a", "b", "ta", "tb").mapInArrow(_verify, "a long, b long").distinct(), "near-links")
 
 
-def components(edges: DataFrame, labels: DataFrame | None = None) -> DataFrame:
-    """``v``, ``label``: the smallest vertex reachable from each vertex of ``edges`` (``a``, ``b``).
+def spread(both: DataFrame, labels: DataFrame | None) -> DataFrame:
+    """One step towards components: ``v``, ``old``, ``label``.
 
-    ``labels`` of earlier edges are taken up: the new edges then join their components. Each round
-    takes the smallest label among the neighbours and then that label's own label.
+    A vertex takes the smallest of its own label and its neighbours', and then that label's own.
+    ``both`` has each link in both directions. A label is always a vertex of the same component.
     """
-    if labels is not None:
-        la = labels.select(F.col("v").alias("a"), F.col("label").alias("la"))
-        lb = labels.select(F.col("v").alias("b"), F.col("label").alias("lb"))
-        joined = edges.join(la, "a", "left").join(lb, "b", "left")
-        edges = joined.select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b")).filter("a <> b").distinct()
-    both = written(edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "near-edges")
-    current = written(both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("n")).select("v", F.least("v", "n").alias("label")), "near-labels")
-    while True:
-        near = both.join(current, both["b"] == current["v"]).groupBy("a").agg(F.min("label").alias("near"))
-        step = current.join(near, current["v"] == near["a"]).select("v", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        root = current.select(F.col("v").alias("label"), F.col("label").alias("root"))
-        step = step.join(root, "label", "left").select("v", "old", F.coalesce("root", "label").alias("label"))
-        step = written(step, "near-labels")
-        current = step.select("v", "label")
-        if step.filter("old <> label").isEmpty():
-            break
     if labels is None:
-        return current
-    moved = current.select(F.col("v").alias("label"), F.col("label").alias("to"))
-    old = labels.join(moved, "label", "left").select("v", F.coalesce("to", "label").alias("label"))
-    fresh = current.join(labels.select("v"), "v", "left_anti")
-    return written(old.unionByName(fresh), "near-components")
+        first = both.groupBy(F.col("a").alias("v")).agg(F.min("b").alias("n"))
+        labels = written(first.select("v", F.least("v", "n").alias("label")), "near-labels")
+        step = labels.withColumn("old", F.lit(None).cast("bigint"))
+    else:
+        known = labels.select(F.col("v").alias("b"), "label")
+        told = both.join(known, "b", "left").select(F.col("a").alias("v"), F.lit(None).cast("bigint").alias("old"), F.coalesce("label", "b").alias("label"))
+        own = labels.select("v", F.col("label").alias("old"), "label")
+        step = told.unionByName(own).groupBy("v").agg(F.max("old").alias("old"), F.min("label").alias("label"))
+        step = step.withColumn("label", F.least("v", "label"))
+    root = labels.select(F.col("v").alias("label"), F.col("label").alias("root"))
+    return written(step.join(root, "label", "left").select("v", "old", F.coalesce("root", "label").alias("label")), "near-labels")
+
+
+def in_both_directions(links: DataFrame) -> DataFrame:
+    return links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+
+
+def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
+    """``v``, ``label``: the smallest vertex reachable from each vertex of ``links`` (``a``, ``b``).
+
+    ``labels`` come from :func:`spread` over some of the same links, and shorten the way.
+    """
+    both = in_both_directions(links)
+    while True:
+        step = spread(both, labels)
+        labels = step.select("v", "label")
+        if step.filter("NOT (old <=> label)").isEmpty():
+            return labels
 
 
 def link_classes(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
@@ -184,22 +191,24 @@ def link_classes(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("v").alias("pivot")).filter("m > 1")
     members = written(keys.join(shared.select("key", "pivot"), "key"), "near-buckets")
     pairs = members.filter("v <> pivot").select(F.col("pivot").alias("a"), F.col("v").alias("b")).distinct()
-    labels = None
+    labels, links = None, None
     left = members.filter("v <> pivot").select("key", "v")
     pivots = 1
     while True:
-        links = links_among(pairs, classes, docs)
-        if not links.isEmpty():
-            labels = components(links, labels)
+        more = links_among(pairs, classes, docs)
+        if not more.isEmpty():
+            links = more if links is None else links.unionByName(more)
+            # Good enough to tell most members that need no comparison; the end makes them final.
+            labels = spread(in_both_directions(links), labels).select("v", "label")
         pivots *= MORE_PIVOTS
-        # Buckets whose remaining members are in several components.
+        # Buckets whose remaining members are, as far as known, in several components.
         known = left if labels is None else left.join(labels, "v", "left")
         known = known.select("key", "v", (F.col("v") if labels is None else F.coalesce("label", "v")).alias("label"))
         open_ = known.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
         take = F.pmod(F.xxhash64("v", F.lit(pivots)), F.greatest(F.lit(1), F.ceil(F.col("m") / pivots)).cast("bigint")) == 0
         rest = written(known.join(open_.select("key", "m"), "key").withColumn("pivot", take), "near-open")
         if rest.isEmpty():
-            return labels
+            return None if links is None else components(links, labels)
         p = rest.filter("pivot").select("key", F.col("v").alias("p"), F.col("label").alias("pl"))
         met = rest.join(p, "key").filter("label <> pl")
         pairs = written(met.select(F.least("v", "p").alias("a"), F.greatest("v", "p").alias("b")).distinct(), "near-pairs")
