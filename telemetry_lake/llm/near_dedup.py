@@ -33,7 +33,7 @@ BATCH = 32
 #: Chance of dropping a pair that is similar enough, at each batch.
 MISS = 1e-6
 #: How many times more pivots each further round takes.
-MORE_PIVOTS = 8
+MORE_PIVOTS = 64
 
 _random = np.random.default_rng(3)
 _TIMES = _random.integers(0, 2**64, HASHES, dtype=np.uint64) | np.uint64(1)
