@@ -3,10 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from ..operators.skew import MAX_HOT_GROUPS
+from ..session import work_dir
+
+#: Items of a line of a JSON array, and equal rows handled as one.
+LINE_ITEMS, BLOCK = 10_000, 1_000
+#: The folder of rows without a value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
 def compact_parquet(df: DataFrame, path: str, files: int | None = None) -> None:
@@ -45,35 +51,64 @@ def write_nested_periods(yearly: DataFrame, monthly: DataFrame, root: str, keys:
     return yearly_path, monthly_path
 
 
-def json_array_documents(df: DataFrame, by: Sequence[str], order: Sequence[str], max_items: int = 100_000) -> DataFrame:
-    """One JSON array per group: ``by``, ``part``, ``document``, items ordered by ``order``.
+def json_array_documents(df: DataFrame, by: Sequence[str], order: Sequence[str], max_items: int | None = None) -> DataFrame:
+    """One JSON array per group: ``by``, ``part``, ``line``, ``document``, items ordered by ``order``.
 
-    A group of up to ``max_items`` rows is a single document, part 0. A larger one becomes
-    several, each a valid array of about that size, so no row is lost and no task holds
-    an unbounded array.
+    A group is one array, part 0, whatever its size. It is returned in lines of up to
+    :data:`LINE_ITEMS` items, to be read one after the other: the first starts with the opening
+    bracket, the last ends with the closing one, and most groups have one line. So no task holds
+    more of a group than a range partition or a line of it. With ``max_items`` the caller asks for
+    several arrays of up to so many items, parts 0, 1 and so on. An empty text in ``by`` counts as
+    null, as both have the same folder. Writes the sorted items below ``spark.checkpoint.dir``.
     """
-    items = [c for c in df.columns if c not in by]
-    large = (
-        df.groupBy(*by)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .filter(F.col("__n") > max_items)
-        .orderBy(F.desc("__n"))
-        .limit(MAX_HOT_GROUPS)
-        .select(*by, F.ceil(F.col("__n") / max_items).alias("__parts"))
+    spark, texts = df.sparkSession, {c for c, kind in df.dtypes if c in by and kind == "string"}
+    keys, orders = [f"__k{n}" for n in range(len(by))], [f"__o{n}" for n in range(len(order))]
+    item = F.to_json(F.struct(*[F.col(c) for c in df.columns if c not in by]))
+    rows = df.select(
+        *[(F.nullif(F.col(c), F.lit("")) if c in texts else F.col(c)).alias(k) for c, k in zip(by, keys)],
+        *[F.col(c).alias(o) for c, o in zip(order, orders)],
+        item.alias("__item"),
     )
-    part = F.when(F.col("__parts").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*items), F.col("__parts")).cast("int")
+    # Equal rows are counted and dealt as numbered blocks, so that they spread like others.
+    counted = rows.groupBy(*keys, *orders, "__item").agg(F.count(F.lit(1)).alias("__n"))
+    blocks = counted.withColumn("__block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("__n") - 1, F.lit(BLOCK).cast("bigint"))))
+    in_order = [*keys, *orders, "__item", "__block"]
+    dealt = blocks.repartitionByRange(*in_order).sortWithinPartitions(*in_order).withColumn("__piece", F.spark_partition_id())
+    pieces = materialize(dealt, work_dir(spark, "index-items"))
+    # An item's place is its place in the piece, after the group's items in earlier pieces.
+    size = F.least(F.lit(BLOCK), F.col("__n") - F.col("__block"))
+    earlier = Window.partitionBy(*keys).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
+    starts = pieces.groupBy(*keys, "__piece").agg(F.sum(size).alias("__size"))
+    starts = starts.withColumns({"__start": F.coalesce(F.sum("__size").over(earlier), F.lit(0))})
+    starts = starts.withColumn("__total", F.sum("__size").over(Window.partitionBy(*keys)))
+    starts = starts.select(*[F.col(c).alias(f"__s{c}") for c in [*keys, "__piece"]], "__start", "__total")
+    met = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"__s{c}")) for c in [*keys, "__piece"]])
+    before = Window.partitionBy(*keys, "__piece").orderBy(*orders, "__item", "__block").rowsBetween(Window.unboundedPreceding, -1)
+    placed = pieces.withColumn("__before", F.coalesce(F.sum(size).over(before), F.lit(0))).join(starts, met)
+    copy = F.explode(F.sequence(F.lit(0).cast("bigint"), size - 1))
+    items = placed.withColumn("__copy", copy).withColumn("__at", F.col("__start") + F.col("__before") + F.col("__copy"))
+    part = F.floor(F.col("__at") / max_items) if max_items else F.lit(0)
+    within = F.col("__at") % max_items if max_items else F.col("__at")
+    items = items.withColumns({"part": part.cast("int"), "line": F.floor(within / LINE_ITEMS), "__within": within})
+    closes = F.col("__at") + 1 == F.col("__total")
+    if max_items:
+        closes = closes | (F.col("__within") + 1 == max_items)
+    text = F.concat(F.when(F.col("__within") == 0, "[").otherwise(""), F.col("__item"), F.when(closes, "]").otherwise(","))
+    lines = items.groupBy(*keys, "part", "line").agg(F.sort_array(F.collect_list(F.struct("__at", text.alias("t")))).alias("__lines"))
+    return lines.select(
+        *[F.col(k).alias(c) for c, k in zip(by, keys)], "part", "line", F.array_join(F.col("__lines")["t"], "").alias("document")
     )
-    # The table of large groups has at most MAX_HOT_GROUPS rows; the others stay whole.
-    numbered = df.join(F.broadcast(large), list(by), "left").withColumn("part", part)
-    item = F.struct(F.struct(*order).alias("o"), F.struct(*items).alias("v"))
-    lists = numbered.groupBy(*by, "part").agg(F.sort_array(F.collect_list(item)).alias("__items"))
-    return lists.select(*by, "part", F.to_json(F.transform("__items", lambda i: i["v"])).alias("document"))
 
 
 def write_index_documents(documents: DataFrame, path: str, by: Sequence[str]) -> None:
-    """Write :func:`json_array_documents` as text below ``by=value/part=n`` folders."""
-    documents.select(*by, "part", "document").write.mode("overwrite").partitionBy(*by, "part").text(path)
+    """Write :func:`json_array_documents` as text below ``by=value/part=n`` folders.
+
+    The files of a folder, in the order of their names, are one JSON array.
+    """
+    # Without nulls in text columns Spark adds no sort of its own, which would mix the lines.
+    named = {c: F.coalesce(F.col(c), F.lit(NO_VALUE)) for c, kind in documents.dtypes if c in by and kind == "string"}
+    placed = documents.withColumns(named).repartitionByRange(*by, "part", "line").sortWithinPartitions(*by, "part", "line")
+    placed.select(*by, "part", "document").write.mode("overwrite").partitionBy(*by, "part").text(path)
 
 
 def materialize(df: DataFrame, path: str) -> DataFrame:

@@ -274,3 +274,23 @@ def test_index_documents_on_disk(spark, tmp_path):
     files.write_index_documents(files.json_array_documents(rows, ["g"], ["i"]), str(tmp_path / "idx"), ["g"])
     part = next((tmp_path / "idx/g=a/part=0").glob("part-*"))
     assert json.loads(part.read_text()) == [{"i": 1}, {"i": 2}]
+
+
+def test_large_groups_stay_one_array(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(files, "LINE_ITEMS", 7, raising=False)
+    monkeypatch.setattr(files, "BLOCK", 5, raising=False)
+    hot = [("hot", i // 3, "x") for i in range(900)] + [("hot", 1_000, "same")] * 400 + [("hot", None, None)] * 3
+    rows = hot + [(None, i, "n") for i in range(200)] + [("", 500, "e")] + [("one", 1, "a")] * 101_000
+    df = spark.createDataFrame(rows, "g string, i int, v string").repartition(5)
+    files.write_index_documents(files.json_array_documents(df, ["g"], ["i"]), str(tmp_path / "idx"), ["g"])
+
+    def read(folder):
+        assert [f.name for f in (tmp_path / "idx" / folder).iterdir()] == ["part=0"]
+        return json.loads("".join(f.read_text() for f in sorted((tmp_path / "idx" / folder / "part=0").glob("part-*"))))
+
+    def want(g):
+        some = sorted(((i, v) for x, i, v in rows if (x or None) == g), key=lambda r: (r[0] is not None, r[0] or 0))
+        return [{k: x for k, x in (("i", i), ("v", v)) if x is not None} for i, v in some]
+
+    assert read("g=hot") == want("hot") and read("g=__HIVE_DEFAULT_PARTITION__") == want(None)
+    assert read("g=one") == want("one")
