@@ -23,10 +23,10 @@ WIDTH, STRIDE = 32, 24
 WORD_ROWS, CHAR_ROWS, EMBEDDED, HIDDEN = 1 << 14, 1 << 15, 8, 8
 #: Lengths, in bytes, of the beginnings of a word that enter beside its trigrams.
 BEGINNINGS = (3, 4, 5, 6, 7, 8)
-#: Labelled texts that fit the network, the first by a hash of their id: toxic ones and others. Only
-#: texts up to so many bytes train it, as their label says more about each window; all are scored.
-MAX_TOXIC, MAX_OTHER = 1000, 1800
-MAX_TRAINING_BYTES = 3_000
+#: Labelled texts of any length that fit the network, the first by a hash of their id: toxic ones and
+#: others. A text with more windows than MAX_WINDOWS trains with so many, drawn from all of it.
+MAX_TOXIC, MAX_OTHER = 2000, 4000
+MAX_WINDOWS = 128
 EPOCHS, BATCH, RATE = 10, 64, 0.01
 PREDICTED = 0.3
 #: Windows scored at once.
@@ -200,16 +200,32 @@ def score_texts(network: Network, texts: list[bytes]) -> np.ndarray:
         return 1 / (1 + np.exp(-best))
 
 
-def train(texts: list[bytes], labels: list[int], seed: int = 5, epochs: int = EPOCHS) -> Network:
-    """Fit a network. Without both kinds of labels it stays as it starts."""
+def drawn(texts: list[bytes]) -> list[list[bytes]]:
+    """Each text as the pieces that train: itself, or one window from each of MAX_WINDOWS equal stretches."""
+    words = Words(texts)
+    out = []
+    for k, (a, b) in enumerate(zip(words.firsts[:-1].tolist(), words.firsts[1:].tolist())):
+        starts = b - a - WIDTH + 1
+        if starts <= MAX_WINDOWS * STRIDE:
+            out.append([texts[k]])
+            continue
+        edges = np.arange(MAX_WINDOWS + 1) * starts // MAX_WINDOWS
+        at = a + np.random.default_rng(b - a).integers(edges[:-1], edges[1:])
+        out.append([words.data[words.starts[w] : words.ends[w + WIDTH - 1]].tobytes() for w in at])
+    return out
+
+
+def train(texts: list[list[bytes]], labels: list[int], seed: int = 5, epochs: int = EPOCHS) -> Network:
+    """Fit a network to texts in pieces (:func:`drawn`). Without both kinds of labels it stays as it starts."""
     network = Network(seed)
     y = np.array(labels, np.float32)
     if not len(y) or y.min() == y.max():
         return network
     rng = np.random.default_rng(seed)
-    words = Words(texts, lower=True)
+    words = Words([piece for pieces in texts for piece in pieces], lower=True)
     number, row, grams, owner = word_inputs(words)
-    windows, text = windows_of(words.firsts, number, len(row))
+    windows, piece = windows_of(words.firsts, number, len(row))
+    windows, text = windows.astype(np.int32), np.repeat(np.arange(len(texts)), [len(pieces) for pieces in texts])[piece]
     edges = np.searchsorted(text, np.arange(len(texts) + 1))
     able = np.flatnonzero(np.diff(edges) > 0)
     owned = np.searchsorted(owner, np.arange(len(row) + 1))
@@ -251,15 +267,33 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
 
 
+def _draw(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for piece, texts in text_blocks(batches):
+        pieces = pa.array(drawn(texts), pa.list_(pa.binary()))
+        yield pa.RecordBatch.from_arrays([*(piece.column(c) for c in ("doc_id", "h", "toxic")), pieces], names=["doc_id", "h", "toxic", "pieces"])
+
+
+def training_texts(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``toxic`` and ``pieces`` of a bounded sample of the labelled texts that are not held out.
+
+    Only labels that have a text with words count; of equal rows one does.
+    """
+    rows = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").filter(~held_out()).select("doc_id", (F.col("toxic") == 1).cast("int").alias("toxic"))
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).filter(F.col("text").rlike(r"[^ \t-\r]"))
+    known = texts.select("doc_id", "h").join(rows, "doc_id").distinct()
+    in_order = [F.xxhash64("doc_id"), "doc_id", "h"]
+    some = lambda kind, n: known.filter(F.col("toxic") == kind).orderBy(*in_order).limit(n)
+    # At most MAX_TOXIC + MAX_OTHER rows of three numbers.
+    sample = F.broadcast(some(1, MAX_TOXIC).unionByName(some(0, MAX_OTHER)))
+    found = texts.join(sample, ["doc_id", "h"]).groupBy("doc_id", "h", "toxic").agg(F.first("text").alias("text"))
+    pieces = found.mapInArrow(_draw, "doc_id long, h long, toxic int, pieces array<binary>")
+    return pieces.orderBy(*in_order, "toxic").select("toxic", "pieces")
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Network:
-    """Train on a bounded sample of the labelled texts that are not held out."""
-    rows = labels.filter("doc_id IS NOT NULL AND toxic IS NOT NULL").select("doc_id", "toxic").filter(~held_out())
-    ordered = lambda df, n: df.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
-    sample = ordered(rows.filter("toxic = 1"), MAX_TOXIC).unionByName(ordered(rows.filter("toxic <> 1"), MAX_OTHER))
-    # At most MAX_TOXIC + MAX_OTHER ids, and as many short texts for the driver.
-    texts = docs.select("doc_id", "text").filter(F.octet_length("text") <= MAX_TRAINING_BYTES)
-    found = texts.join(F.broadcast(sample), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(MAX_TOXIC + MAX_OTHER).collect()
-    return train([r["text"].encode() for r in found], [int(r["toxic"] == 1) for r in found])
+    """Train on :func:`training_texts`."""
+    found = training_texts(docs, labels).collect()
+    return train([[bytes(p) for p in r["pieces"]] for r in found], [r["toxic"] for r in found])
 
 
 def _score(network: Network):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pytest
 
@@ -62,3 +64,20 @@ def test_odd_rows(spark):
     assert all(0 <= r["score"] <= 1 for r in out)
     assert {r["score"] for r in out if r["doc_id"] in (1, 2, 5)} == {0.0}
     assert toxicity.score(docs.limit(0), labels).count() == 0
+
+
+def test_labelled_texts_of_any_length_train(spark):
+    """No label is lost by its text's length, nor by labels without a text."""
+    words = [f"w{i}" for i in range(20_000)]
+    rows = [(i, " ".join(words[:n])) for i, n in ((0, 5), (1, 900), (2, 2_000), (3, 20_000))] + [(4, " \n"), (5, None), (1, "other text")]
+    ids = [i for i in range(12) if zlib.crc32(str(i).encode()) % 4 != 2]
+    docs = spark.createDataFrame(rows + rows[:1], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 0, i % 2) for i in range(12)], "doc_id long, quality int, toxic int")
+    found = toxicity.training_texts(docs, labels).collect()
+    want = [i % 2 for i, t in rows if i in ids and (t or "").strip()]
+    assert sorted(r["toxic"] for r in found) == sorted(want) and len(want) > 2
+    whole, long = toxicity.drawn([t.encode() for _, t in rows[2:4]])
+    assert whole == [rows[2][1].encode()] and len(long) == toxicity.MAX_WINDOWS
+    starts = [int(p.split()[0][1:]) for p in long]
+    assert all(p.split() == [w.encode() for w in words[s : s + toxicity.WIDTH]] for p, s in zip(long, starts))
+    assert starts == sorted(starts) and starts[0] < 200 and starts[-1] > 19_700
