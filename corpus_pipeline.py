@@ -18,8 +18,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
-    return near_dedup.representatives(docs)
+    """One document of each group of near duplicates, by five-word shingles."""
+    return near_dedup.representatives(docs, 5)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

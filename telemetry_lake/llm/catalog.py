@@ -41,7 +41,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.group(table(spark, sf_dir, "documents"))
+    return near_dedup.group(table(spark, sf_dir, "documents"), 2)
 
 
 @query

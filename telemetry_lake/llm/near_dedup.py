@@ -27,6 +27,8 @@ from .store import written
 
 #: Similarity of a link, per cent.
 THRESHOLD = 80
+#: Words of a shingle, unless the caller names another width.
+WIDTH = 2
 HASHES, ROWS, BANDS = 128, 5, 25
 #: Agreements are counted in batches of this size.
 BATCH = 32
@@ -41,15 +43,25 @@ _PLUS = _random.integers(0, 2**64, HASHES, dtype=np.uint64)
 _BAND_SEEDS = _random.integers(0, 2**64, BANDS, dtype=np.uint64)
 
 
-def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
-    """Sorted distinct hashes of the two-word shingles of each text, A-Z in lower case; of a
-    single word its own; empty without words."""
+def shingle_sets(texts: list[bytes], width: int = WIDTH) -> list[np.ndarray]:
+    """Sorted distinct hashes of the shingles of ``width`` words of each text, A-Z in lower case; of a
+    shorter text the hash of all its words; empty without words."""
     words = Words(texts, lower=True)
     h = words.hashes()
-    pairs = mix64(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]) if len(h) > 1 else np.zeros(0, np.uint64)
+
+    def joined(parts: list[np.ndarray]) -> np.ndarray:
+        out = parts[0]
+        for part in parts[1:]:
+            out = mix64(out * np.uint64(0x9E3779B97F4A7C15) + part)
+        return out
+
+    runs = joined([h[k : len(h) - width + 1 + k] for k in range(width)]) if len(h) >= width else np.zeros(0, np.uint64)
     out = []
     for a, b in zip(words.firsts[:-1], words.firsts[1:]):
-        out.append(np.unique(pairs[a : b - 1]) if b - a > 1 else mix64(h[a:b] ^ np.uint64(0xD1B54A32D192ED03)))
+        if b - a >= width:
+            out.append(np.unique(runs[a : b - width + 1]))
+        else:
+            out.append(mix64(joined([h[k : k + 1] for k in range(a, b)]) ^ np.uint64(0xD1B54A32D192ED03)) if b > a else np.zeros(0, np.uint64))
     return out
 
 
@@ -61,19 +73,22 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return low
 
 
-def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for piece, texts in text_blocks(batches):
-        sets = shingle_sets(texts)
-        full = [len(s) > 0 for s in sets]
-        yield pa.RecordBatch.from_arrays(
-            [
-                piece.column("doc_id"),
-                pa.array([len(s) for s in sets], pa.int64()),
-                pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if f else None for s, f in zip(sets, full)], pa.binary()),
-                pa.array([signature(s).tobytes() if f else None for s, f in zip(sets, full)], pa.binary()),
-            ],
-            names=["doc_id", "n_shingles", "digest", "signature"],
-        )
+def _sign(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece, texts in text_blocks(batches):
+            sets = shingle_sets(texts, width)
+            full = [len(s) > 0 for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    piece.column("doc_id"),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if f else None for s, f in zip(sets, full)], pa.binary()),
+                    pa.array([signature(s).tobytes() if f else None for s, f in zip(sets, full)], pa.binary()),
+                ],
+                names=["doc_id", "n_shingles", "digest", "signature"],
+            )
+
+    return run
 
 
 def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -122,18 +137,21 @@ def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).take(pa.array(alive))
 
 
-def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for piece, first in text_blocks(iter([batch]), "ta"):
-            second = [b"" if t is None else t for t in piece.column("tb").cast(pa.binary()).to_pylist()]
-            kept = []
-            for k, (x, y) in enumerate(zip(shingle_sets(first), shingle_sets(second))):
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                kept.append(100 * both >= THRESHOLD * (len(x) + len(y) - both) and both > 0)
-            yield piece.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+def _verify(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece, first in text_blocks(iter([batch]), "ta"):
+                second = [b"" if t is None else t for t in piece.column("tb").cast(pa.binary()).to_pylist()]
+                kept = []
+                for k, (x, y) in enumerate(zip(shingle_sets(first, width), shingle_sets(second, width))):
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    kept.append(100 * both >= THRESHOLD * (len(x) + len(y) - both) and both > 0)
+                yield piece.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
+
+    return run
 
 
-def links_among(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
+def links_among(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """The pairs ``a``, ``b`` that are similar enough, by signatures and then by their full sets."""
     c = classes.select("v", "n_shingles", "signature")
     x = c.select(F.col("v").alias("a"), F.col("n_shingles").alias("na"), F.col("signature").alias("sa"))
@@ -145,7 +163,7 @@ def links_among(pairs: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFr
     both = likely.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(
         texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b"
     )
-    return written(both.select("a", "b", "ta", "tb").mapInArrow(_verify, "a long, b long").distinct(), "near-links")
+    return written(both.select("a", "b", "ta", "tb").mapInArrow(_verify(width), "a long, b long").distinct(), "near-links")
 
 
 def spread(both: DataFrame, labels: DataFrame | None) -> DataFrame:
@@ -185,7 +203,7 @@ def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
             return labels
 
 
-def link_classes(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
+def link_classes(classes: DataFrame, docs: DataFrame, width: int = WIDTH) -> DataFrame | None:
     """``v``, ``label`` of the classes that are linked with others; None if there are none."""
     keys = classes.select("v", "signature").mapInArrow(_bands, "key long, v long")
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("v").alias("pivot")).filter("m > 1")
@@ -195,7 +213,7 @@ def link_classes(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
     left = members.filter("v <> pivot").select("key", "v")
     pivots = 1
     while True:
-        more = links_among(pairs, classes, docs)
+        more = links_among(pairs, classes, docs, width)
         if not more.isEmpty():
             links = more if links is None else links.unionByName(more)
             # Good enough to tell most members that need no comparison; the end makes them final.
@@ -215,8 +233,8 @@ def link_classes(classes: DataFrame, docs: DataFrame) -> DataFrame | None:
         left = rest.filter("NOT pivot").select("key", "v")
 
 
-def group(docs: DataFrame) -> DataFrame:
-    """Components of near-duplicate documents.
+def group(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """Components of near-duplicate documents, by shingles of ``width`` words.
 
     Returns ``doc_id``, ``n_shingles``, ``component_id`` (smallest id reachable over links) and ``kept``
     (whether that is its own) per row. Null and blank texts have no shingles and are linked with
@@ -225,11 +243,11 @@ def group(docs: DataFrame) -> DataFrame:
     ignored; an empty table gives an empty result.
     """
     docs = docs.select("doc_id", "text")
-    signed = written(docs.mapInArrow(_sign, "doc_id long, n_shingles long, digest binary, signature binary"), "near-signed")
+    signed = written(docs.mapInArrow(_sign(width), "doc_id long, n_shingles long, digest binary, signature binary"), "near-signed")
     linked = signed.filter("doc_id IS NOT NULL AND digest IS NOT NULL")
     classes = linked.groupBy("digest").agg(F.min("doc_id").alias("v"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
     classes = written(classes, "near-classes")
-    labels = link_classes(classes, docs)
+    labels = link_classes(classes, docs, width)
     of_class = classes.select("digest", "v")
     if labels is None:
         of_class = of_class.select("digest", F.col("v").alias("component"))
@@ -246,7 +264,7 @@ def group(docs: DataFrame) -> DataFrame:
     )
 
 
-def representatives(docs: DataFrame) -> DataFrame:
+def representatives(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """The rows of ``docs`` that stay: one document of each component, all columns."""
-    dropped = group(docs).filter("NOT kept").select("doc_id").distinct()
+    dropped = group(docs, width).filter("NOT kept").select("doc_id").distinct()
     return docs.join(dropped, "doc_id", "left_anti")

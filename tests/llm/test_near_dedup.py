@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+import corpus_pipeline
 from telemetry_lake.llm import near_dedup
 
 from . import brute
@@ -79,3 +80,19 @@ def test_bounds_of_the_sequential_test():
     assert list(least) == [32, 64, 96, 128]
     assert all(0 < m < 0.8 * n for n, m in least.items())
     assert least[128] / 128 > least[32] / 32
+
+
+def test_pipeline_stage_takes_five_words(spark):
+    """Eight edits in 200 words: 0.85 of the two-word shingles agree, 0.66 of the five-word ones."""
+    words = [f"w{i}" for i in range(200)]
+    edited, once = list(words), list(words)
+    for i in range(8):
+        edited[12 + 25 * i] = f"x{i}"
+    once[100] = "y"
+    rows = [(1, " ".join(words)), (2, " ".join(edited)), (3, " ".join(once)), (4, "a b c d"), (5, "A b c d"), (6, "a b c"), (7, "a"), (8, ""), (9, None), (None, "a b c d")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = lambda df: sorted(str(r["doc_id"]) for r in df.collect())
+    assert left(corpus_pipeline.one_of_each(spark, docs, "")) == sorted(str(i) for i in (1, 2, 4, 6, 7, 8, 9, None))
+    assert left(near_dedup.representatives(docs, 2)) == sorted(str(i) for i in (1, 4, 6, 7, 8, 9, None))
+    sets = near_dedup.shingle_sets([words_.encode() for _, words_ in rows[:2]], 5)
+    assert [len(s) for s in sets] == [196, 196] and len(set(sets[0].tolist()) & set(sets[1].tolist())) == 156
