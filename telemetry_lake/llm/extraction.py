@@ -18,12 +18,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: Elements whose content is no text.
-SILENT = {"script", "style", "noscript", "template", "svg", "math", "iframe", "object", "head", "title", "select", "textarea", "button", "canvas", "audio", "video"}
+SILENT = {"script", "style", "noscript", "template", "svg", "iframe", "object", "head", "title", "select", "textarea", "button", "canvas", "audio", "video", "annotation", "annotation-xml"}
 #: Elements that run on within a block.
 INLINE = {
     "a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i", "ins", "kbd", "label", "mark", "q", "s",
     "samp", "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "img", "br", "input",
+    "nobr", "ruby", "rb", "rt", "rtc", "rp", "math", "svg", "output", "meter", "progress", "slot", "script", "noscript", "template", "iframe", "object",
+    "select", "textarea", "button", "canvas", "audio", "video", "picture", "source", "track", "embed", "map", "area", "datalist",
 }
+#: Elements whose own parts never end the block around them.
+WHOLE = (SILENT & INLINE) | {"math"}
+#: Elements that may stand in a head; any other, or text, ends one whose end tag is left out.
+IN_HEAD = {"base", "basefont", "bgsound", "link", "meta", "noframes", "noscript", "script", "style", "template", "title"}
+#: A head is the first or second open element.
+HEAD_WITHIN = 2
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 #: Elements that end an open one of the kind.
 ENDS_ITS_KIND = {"p", "li", "dt", "dd", "tr", "td", "th", "option"}
@@ -58,7 +66,7 @@ def leaf_blocks(page: str) -> list[Block]:
     blocks: list[Block] = []
     stack: list[tuple[str, tuple[str, ...]]] = []
     pieces: list[str] = []
-    linked = silent = 0
+    linked = silent = whole = 0
 
     def flush() -> None:
         nonlocal linked
@@ -69,14 +77,17 @@ def leaf_blocks(page: str) -> list[Block]:
         linked = 0
 
     def pop(to: int) -> None:
-        nonlocal silent
+        nonlocal silent, whole
         silent -= sum(t in SILENT for t, _ in stack[to:])
+        whole -= sum(t in WHOLE for t, _ in stack[to:])
         del stack[to:]
 
     at = 0
     while at < len(page):
         token = TOKEN.search(page, at)
         text = page[at : token.start() if token else len(page)]
+        if stack and stack[-1][0] == "head" and text.strip():
+            pop(len(stack) - 1)
         if text and not silent:
             pieces.append(text)
             if any(t == "a" for t, _ in stack):
@@ -87,17 +98,24 @@ def leaf_blocks(page: str) -> list[Block]:
         closing, name = token[1], (token[2] or "").lower()
         if not name:
             continue
+        if not closing and name != "head":
+            for k, (t, _) in enumerate(stack[:HEAD_WITHIN]):
+                if t == "head" and (name == "body" or k == len(stack) - 1 and name not in IN_HEAD):
+                    pop(k)
+                    break
         if name == "br":
             pieces.append(" ")
             continue
-        if name not in INLINE:
-            flush()
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    pop(k)
-                    break
+            k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
+            # An end tag may end elements that have none of their own, and with them their silence.
+            if name not in INLINE and not (whole and any(t in WHOLE for t, _ in stack[:k])):
+                flush()
+            if k is not None:
+                pop(k)
             continue
+        if name not in INLINE and not whole:
+            flush()
         if name in VOID or token[3].endswith("/"):
             continue
         if name in ENDS_ITS_KIND:
@@ -113,6 +131,7 @@ def leaf_blocks(page: str) -> list[Block]:
             continue
         stack.append((name, class_words(token[3])))
         silent += name in SILENT
+        whole += name in WHOLE
     flush()
     return blocks
 

@@ -70,3 +70,20 @@ def test_odd_pages(spark, field):
     pages = spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, text string")
     assert extraction.extract(pages, field).count() == len(rows)
     assert extraction.extract(pages.limit(0), field).count() == 0
+
+
+def test_head_without_end_tag(field):
+    open_head = PAGE.replace("</head>", "")
+    assert extraction.main_text(open_head, field) == extraction.main_text(PAGE, field)
+    assert extraction.main_text(open_head.replace("<body>", "").replace("</body>", ""), field) == extraction.main_text(PAGE, field)
+    texts = lambda page: [b.text for b in extraction.leaf_blocks(page)]
+    assert texts("<head><meta charset=x><title>T</title><link rel=y><template><p>no</p></template>Bare text") == ["Bare text"]
+    assert texts("<html><head><base><template>no<body><p>one") == ["one"]
+
+
+def test_phrases_run_on():
+    texts = lambda page: [b.text for b in extraction.leaf_blocks(page)]
+    formula = "<math><semantics><mrow><mi>x</mi><mo>=</mo><mn>2</mn></mrow><annotation>x=2</annotation></semantics></math>"
+    assert texts(f"<p>If {formula} then <svg><g><title>t</title><text>no</text></g></svg>so.</p><p>Next") == ["If x=2 then so.", "Next"]
+    assert texts("<p>a <ruby>b<rp>(</rp><rt>c</rt><rp>)</rp></ruby> <nobr>d e</nobr><script>x</script> f</p>") == ["a b(c) d e f"]
+    assert texts("<p>a <template><div>no</div></template>b <svg><g></p><p>c") == ["a b", "c"]
