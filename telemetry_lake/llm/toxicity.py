@@ -2,8 +2,8 @@
 
 A word enters as a hashed embedding of itself and the mean of hashed embeddings of its characters:
 their trigrams and the word's beginnings. Two gated recurrent layers read a window of words in both directions, attention weighs their
-states, and a logistic unit scores the window. A text is scored by its worst window; all overlapping
-windows of the whole text count. Training knows only which texts are toxic, not where: of a toxic
+states, and a logistic unit scores the window. A text is scored by its worst window; windows that overlap
+by half count, over the whole text. Training knows only which texts are toxic, not where: of a toxic
 text the window that scores highest is the positive example, of others the one that comes closest.
 """
 
@@ -18,8 +18,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .arrays import Words, mix64, text_blocks
 
-#: Words of a window, and from one window to the next.
-WIDTH, STRIDE = 32, 24
+#: Words of a window, and from one window to the next. Windows share 16 words, so that every passage
+#: of up to WIDTH - STRIDE + 1 = 17 words lies whole in one.
+WIDTH, STRIDE = 32, 16
 WORD_ROWS, CHAR_ROWS, EMBEDDED, HIDDEN = 1 << 14, 1 << 15, 8, 8
 #: Lengths, in bytes, of the beginnings of a word that enter beside its trigrams.
 BEGINNINGS = (3, 4, 5, 6, 7, 8)

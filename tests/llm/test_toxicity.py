@@ -41,6 +41,12 @@ def test_all_windows():
     assert set(windows[1:].ravel().tolist()) - {999} == set(range(3, 103))
 
 
+def test_passages_lie_whole_in_a_window():
+    windows, _ = toxicity.windows_of(np.array([0, 200]), np.arange(200), 999)
+    spans = {(w.min(), w[w < 999].max()) for w in windows}
+    assert all(any(a <= s and s + 16 <= b for a, b in spans) for s in range(200 - 16))
+
+
 def test_held_out_accuracy(spark):
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     rows = toxicity.score(docs, labels).join(labels, "doc_id").filter("held_out").collect()
