@@ -42,7 +42,6 @@ ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s
 RAW = {"script", "style", "textarea", "title", "noscript", "iframe"}
 #: Width of the hashed feature space.
 FEATURES = 1 << 13
-DEPTH = 12
 
 
 class Block:
@@ -58,7 +57,7 @@ def class_words(attributes: str) -> tuple[str, ...]:
         for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", "".join(values)).lower()):
             if w:
                 words.append(w)
-    return tuple(words[:8])
+    return tuple(words)
 
 
 def leaf_blocks(page: str) -> list[Block]:
@@ -151,8 +150,8 @@ def path_features(path: tuple) -> tuple[int, ...]:
     """Features of the elements around a block; pages of a site share most paths."""
     found = _KNOWN.get(path)
     if found is None:
-        names = {f"t={t}" for t, _ in path[-DEPTH:]}
-        names |= {f"c={w}" for _, words in path[-DEPTH:] for w in words}
+        names = {f"t={t}" for t, _ in path}
+        names |= {f"c={w}" for _, words in path for w in words}
         outer = [t for t, _ in path if t not in INLINE]
         names.add(f"leaf={outer[-1] if outer else ''}")
         names.add(f"up={'/'.join(outer[-2:])}")

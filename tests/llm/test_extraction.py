@@ -87,3 +87,13 @@ def test_phrases_run_on():
     assert texts(f"<p>If {formula} then <svg><g><title>t</title><text>no</text></g></svg>so.</p><p>Next") == ["If x=2 then so.", "Next"]
     assert texts("<p>a <ruby>b<rp>(</rp><rt>c</rt><rp>)</rp></ruby> <nobr>d e</nobr><script>x</script> f</p>") == ["a b(c) d e f"]
     assert texts("<p>a <template><div>no</div></template>b <svg><g></p><p>c") == ["a b", "c"]
+
+
+def test_features_of_all_ancestors(field):
+    thread = "<ol><li><article><div>" * 4
+    page = f'<article><p>The main text of this page is here, in one line.</p></article><section class="a b c d e f g h comments">{thread}<p>A reply far below in the thread, of a few words.</p>'
+    deep = extraction.leaf_blocks(page)[-1]
+    assert len(deep.path) > 13
+    assert {extraction._feature("t=section"), extraction._feature("c=comments")} <= set(extraction.block_features(deep))
+    footer = "<footer>" + "<div>" * 15 + "<p>Words at the end of this page, and a few more."
+    assert extraction._feature("t=footer") in extraction.block_features(extraction.leaf_blocks(footer)[0])
