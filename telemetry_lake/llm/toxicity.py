@@ -32,6 +32,8 @@ EPOCHS, BATCH, RATE = 10, 64, 0.01
 PREDICTED = 0.3
 #: Windows scored at once.
 ROWS_AT_ONCE = 1024
+#: Bytes of training text read at once.
+BLOCK_BYTES = 1 << 20
 
 
 def word_inputs(words: Words) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -188,6 +190,16 @@ def windows_of(firsts: np.ndarray, number: np.ndarray, none: int) -> tuple[np.nd
     return np.where(inside, number[place] if len(number) else none, none), text
 
 
+def all_logits(network: Network, x: np.ndarray, windows: np.ndarray) -> np.ndarray:
+    """Logits of many windows, some at a time; only these windows' own words take part."""
+    out = np.zeros(len(windows), np.float32)
+    for at in range(0, len(windows), ROWS_AT_ONCE):
+        some = windows[at : at + ROWS_AT_ONCE]
+        used = np.unique(np.append(some, len(x) - 1))
+        out[at : at + ROWS_AT_ONCE] = network.logits(x[used], np.searchsorted(used, some))
+    return out
+
+
 def score_texts(network: Network, texts: list[bytes]) -> np.ndarray:
     """The chance that each text is toxic, by its worst window; 0 without words."""
     words = Words(texts, lower=True)
@@ -195,8 +207,7 @@ def score_texts(network: Network, texts: list[bytes]) -> np.ndarray:
     x = network.inputs(row, grams, owner)
     windows, text = windows_of(words.firsts, number, len(x) - 1)
     best = np.full(len(texts), -np.inf)
-    for at in range(0, len(windows), ROWS_AT_ONCE):
-        np.maximum.at(best, text[at : at + ROWS_AT_ONCE], network.logits(x, windows[at : at + ROWS_AT_ONCE]).astype(float))
+    np.maximum.at(best, text, all_logits(network, x, windows).astype(float))
     with np.errstate(over="ignore"):
         return 1 / (1 + np.exp(-best))
 
@@ -216,6 +227,26 @@ def drawn(texts: list[bytes]) -> list[list[bytes]]:
     return out
 
 
+def numbered(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """First word of each piece, and the number of words; numbers of all words; the distinct words in
+    lower case, by their hashes. Looks at a block of pieces at a time, as hashes take much room."""
+    known: dict[int, bytes] = {}
+    hashes, counts, at = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)], 0
+    ends = np.cumsum([len(p) for p in pieces])
+    while at < len(pieces):
+        end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + BLOCK_BYTES, side="right")))
+        words = Words(pieces[at:end], lower=True)
+        h = words.hashes()
+        for word, k in zip(*(x.tolist() for x in np.unique(h, return_index=True))):
+            if word not in known:
+                known[word] = words.data[words.starts[k] : words.ends[k]].tobytes()
+        hashes.append(h)
+        counts.append(np.diff(words.firsts))
+        at = end
+    order, number = np.unique(np.concatenate(hashes), return_inverse=True)
+    return np.cumsum(np.concatenate(counts)), number.astype(np.int32), [known[word] for word in order.tolist()]
+
+
 def train(texts: list[list[bytes]], labels: list[int], seed: int = 5, epochs: int = EPOCHS) -> Network:
     """Fit a network to texts in pieces (:func:`drawn`). Without both kinds of labels it stays as it starts."""
     network = Network(seed)
@@ -223,10 +254,10 @@ def train(texts: list[list[bytes]], labels: list[int], seed: int = 5, epochs: in
     if not len(y) or y.min() == y.max():
         return network
     rng = np.random.default_rng(seed)
-    words = Words([piece for pieces in texts for piece in pieces], lower=True)
-    number, row, grams, owner = word_inputs(words)
-    windows, piece = windows_of(words.firsts, number, len(row))
-    windows, text = windows.astype(np.int32), np.repeat(np.arange(len(texts)), [len(pieces) for pieces in texts])[piece]
+    firsts, number, distinct = numbered([piece for pieces in texts for piece in pieces])
+    _, row, grams, owner = word_inputs(Words([b" ".join(distinct)]))
+    windows, piece = windows_of(firsts, number, len(row))
+    text = np.repeat(np.arange(len(texts)), [len(pieces) for pieces in texts])[piece]
     edges = np.searchsorted(text, np.arange(len(texts) + 1))
     able = np.flatnonzero(np.diff(edges) > 0)
     owned = np.searchsorted(owner, np.arange(len(row) + 1))
@@ -237,7 +268,7 @@ def train(texts: list[list[bytes]], labels: list[int], seed: int = 5, epochs: in
     for epoch in range(epochs):
         if epoch % 2:
             x = network.inputs(row, grams, owner)
-            logit = np.concatenate([network.logits(x, windows[a : a + ROWS_AT_ONCE]) for a in range(0, len(windows), ROWS_AT_ONCE)])
+            logit = all_logits(network, x, windows)
         pick = lambda t: edges[t] + (int(np.argmax(logit[edges[t] : edges[t + 1]])) if epoch else rng.integers(edges[t + 1] - edges[t]))
         examples = [(pick(t), y[t]) for t in able]
         # Of the other texts also a window at random.

@@ -47,6 +47,15 @@ def test_passages_lie_whole_in_a_window():
     assert all(any(a <= s and s + 16 <= b for a, b in spans) for s in range(200 - 16))
 
 
+def test_words_are_numbered_across_blocks(monkeypatch):
+    monkeypatch.setattr(toxicity, "BLOCK_BYTES", 9)
+    pieces = [b"One two", b"", b"two THREE one", b"four", b"one"]
+    firsts, number, distinct = toxicity.numbered(pieces)
+    assert firsts.tolist() == [0, 2, 2, 5, 6, 7]
+    assert [distinct[k] for k in number] == b"one two two three one four one".split()
+    assert toxicity.numbered([])[0].tolist() == [0]
+
+
 def test_held_out_accuracy(spark):
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     rows = toxicity.score(docs, labels).join(labels, "doc_id").filter("held_out").collect()
