@@ -1,11 +1,13 @@
 """Near-duplicate documents: MinHash bands, sequential Bayesian pruning, exact verification.
 
 Documents with the same set of shingles are one class from the start; classes, not copies, are
-compared. Classes that agree on a band of their signatures share a bucket. A bucket is not expanded
-into pairs: all its members are compared with a few pivots, classes that turn out linked become one
-component, and only buckets that still hold several components get further, and more, pivots. A
-bucket is finished when each of its pairs was compared or lies within one component, so a group of
-near copies costs one comparison for each of them, and no link between components is left out.
+compared. Classes that agree on a band of their signatures share a bucket, and a bucket is never
+expanded into pairs. First all its members are compared with one pivot, and links give labels. In a
+bucket that still holds several labels most members have the same, the *main* one; members of one
+label need no comparison, so only the *others* are left to compare, with the main ones and among
+themselves. That is done inside a task, which holds the signatures and texts of a slice of others and a
+slice of main ones and returns at most one link between any two labels. What is moved grows with the
+members, not with their pairs, and a hot bucket is spread over slices.
 
 A candidate pair is judged by its signatures batch by batch. After ``m`` of ``n`` agreements the
 posterior chance of a similarity of at least the threshold follows from a uniform prior; below
@@ -22,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .arrays import Words, mix64, text_blocks
+from .arrays import BLOCK, Words, mix64, text_blocks
 from .store import written
 
 #: Similarity of a link, per cent.
@@ -34,8 +36,10 @@ HASHES, ROWS, BANDS = 128, 5, 25
 BATCH = 32
 #: Chance of dropping a pair that is similar enough, at each batch.
 MISS = 1e-6
-#: How many times more pivots each further round takes.
-MORE_PIVOTS = 64
+#: Members of a bucket, and shingles of them, that make a slice.
+SLICE_ROWS, SLICE_SHINGLES = 2048, 1 << 20
+#: Survivors confirmed at once, the most alike first.
+CONFIRMED = 32
 
 _random = np.random.default_rng(3)
 _TIMES = _random.integers(0, 2**64, HASHES, dtype=np.uint64) | np.uint64(1)
@@ -73,6 +77,10 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return low
 
 
+def digest_of(shingles: np.ndarray) -> bytes:
+    return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
+
+
 def _sign(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece, texts in text_blocks(batches):
@@ -82,7 +90,7 @@ def _sign(width: int):
                 [
                     piece.column("doc_id"),
                     pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() if f else None for s, f in zip(sets, full)], pa.binary()),
+                    pa.array([digest_of(s) if f else None for s, f in zip(sets, full)], pa.binary()),
                     pa.array([signature(s).tobytes() if f else None for s, f in zip(sets, full)], pa.binary()),
                 ],
                 names=["doc_id", "n_shingles", "digest", "signature"],
@@ -203,34 +211,135 @@ def components(links: DataFrame, labels: DataFrame | None = None) -> DataFrame:
             return labels
 
 
+class _Side:
+    """Members of a slice: ids, labels (as numbers of the block), signatures and shingle sets."""
+
+    def __init__(self, at: list[int], v: list[int], labels: np.ndarray, signatures: np.ndarray, sets: list[np.ndarray]):
+        self.v = [v[i] for i in at]
+        self.labels = labels[at]
+        self.signatures = signatures[at]
+        self.sets = [sets[i] for i in at]
+        self.sizes = np.array([len(x) for x in self.sets], np.int64)
+
+    def alike(self, signature: np.ndarray, size: int, at: np.ndarray, least: dict[int, int]) -> np.ndarray:
+        """Those of the members ``at`` that may be similar enough, the most alike first."""
+        fits = 100 * np.minimum(self.sizes[at], size) >= THRESHOLD * np.maximum(self.sizes[at], size)
+        at = at[fits]
+        seen = np.zeros(len(at), np.int64)
+        for n, m in least.items():
+            seen = seen + (self.signatures[at, n - BATCH : n] == signature[n - BATCH : n]).sum(axis=1)
+            at, seen = at[seen >= m], seen[seen >= m]
+        return at[np.argsort(-seen, kind="stable")]
+
+    def similar(self, shingles: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Which of the members ``at`` are linked with a set, by the sets themselves."""
+        sizes = self.sizes[at]
+        joined = np.concatenate([self.sets[i] for i in at])
+        place = np.minimum(np.searchsorted(shingles, joined), len(shingles) - 1)
+        both = np.add.reduceat(shingles[place] == joined, np.concatenate([[0], np.cumsum(sizes)[:-1]]), dtype=np.int64)
+        return 100 * both >= THRESHOLD * (sizes + len(shingles) - both)
+
+
+def block_links(others: _Side, main: _Side, inner: bool) -> list[tuple[int, int]]:
+    """Links that join all labels of a block that can be joined: of ``others`` with ``main`` and, if ``inner``,
+    among themselves. A pair is left out only where its labels are joined already."""
+    least, out = least_agreement(), []
+    sides = [main, others] if inner else [main]
+    for k in range(len(others.v)):
+        for side in sides:
+            at = np.flatnonzero(side.labels != others.labels[k])
+            if side is others:
+                at = at[at > k]
+            at = side.alike(others.signatures[k], others.sizes[k], at, least)
+            while len(at):
+                now, at = at[:CONFIRMED], at[CONFIRMED:]
+                for i in now[side.similar(others.sets[k], now)]:
+                    mine, its = others.labels[k], side.labels[i]
+                    if mine != its:
+                        out.append((others.v[k], side.v[i]))
+                        for x in (main, others):
+                            x.labels[x.labels == its] = mine
+                at = at[side.labels[at] != others.labels[k]]
+    return out
+
+
+def _settle(width: int):
+    """The links of one block of a bucket: rows of the slices ``a`` (others) and ``b``."""
+
+    def run(table: pa.Table) -> pa.Table:
+        a, b, first = (table.column(c)[0].as_py() for c in ("a", "b", "first_main"))
+        texts = [t or b"" for t in table.column("text").cast(pa.binary()).to_pylist()]
+        sets, at = [], 0
+        while at < len(texts):
+            n, held = 0, 0
+            while at + n < len(texts) and (not n or held + len(texts[at + n]) <= BLOCK):
+                held += len(texts[at + n])
+                n += 1
+            sets += shingle_sets(texts[at : at + n], width)
+            at += n
+        # Of rows that share an id, those of this class.
+        own = [i for i, d in enumerate(table.column("digest").to_pylist()) if digest_of(sets[i]) == d]
+        place = table.column("at").to_pylist()
+        v, labels = table.column("v").to_pylist(), np.unique(np.array(table.column("label")), return_inverse=True)[1]
+        signatures = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint32).reshape(-1, HASHES)
+        side = lambda s: _Side([i for i in own if place[i] == s], v, labels, signatures, sets)
+        found = block_links(side(a), side(b), b == first)
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
+    return run
+
+
+def blocks_of(open_: DataFrame) -> DataFrame:
+    """Where each member of an open bucket is compared: ``key``, ``a``, ``b`` (slices that meet), ``at`` (its own),
+    ``first_main``, ``v``, ``label``, ``digest``.
+
+    Slices of others come first, then those of the main label. ``open_`` has ``key``, ``v``, ``label``, ``digest``,
+    ``n_shingles``. Each slice of others meets every other slice once, so a member is sent as often as
+    there are slices of others (most often one), and an other once more for each slice of main ones.
+    """
+    of_label = open_.groupBy("key", "label").agg(F.count(F.lit(1)).alias("m"), F.sum("n_shingles").alias("s"))
+    largest = F.max(F.struct("m", "label", "s"))
+    of_key = of_label.groupBy("key").agg(F.count(F.lit(1)).alias("labels"), F.sum("m").alias("m"), F.sum("s").alias("s"), largest.alias("main"))
+    slices = lambda m, s: F.greatest(F.lit(1), F.ceil(m / SLICE_ROWS), F.ceil(s / SLICE_SHINGLES)).cast("int")
+    of_key = of_key.filter("labels > 1").select(
+        F.col("key").alias("k"), F.col("main.label").alias("main"),
+        slices(F.col("m") - F.col("main.m"), F.col("s") - F.col("main.s")).alias("others"), slices(F.col("main.m"), F.col("main.s")).alias("mains"),
+    )
+    rows = open_.join(of_key, F.col("key") == F.col("k")).withColumn("is_main", F.col("label") == F.col("main"))
+    hashed = F.xxhash64("digest", "v")
+    rows = rows.withColumn("at", F.when(F.col("is_main"), F.col("others") + F.pmod(hashed, "mains")).otherwise(F.pmod(hashed, "others")).cast("int"))
+    pair = lambda x, y: F.struct(F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
+    of_others = F.sequence(F.lit(0), F.col("others") - 1)
+    meets = F.when(F.col("is_main"), of_others).otherwise(
+        F.filter(F.sequence(F.lit(0), F.col("others") + F.col("mains") - 1), lambda x: x != F.col("at"))
+    )
+    met = rows.withColumn("meets", F.explode(F.transform(meets, lambda x: pair(F.col("at"), x))))
+    return met.select("key", "meets.a", "meets.b", "at", F.col("others").alias("first_main"), "v", "label", "digest")
+
+
 def link_classes(classes: DataFrame, docs: DataFrame, width: int = WIDTH) -> DataFrame | None:
     """``v``, ``label`` of the classes that are linked with others; None if there are none."""
     keys = classes.select("v", "signature").mapInArrow(_bands, "key long, v long")
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("v").alias("pivot")).filter("m > 1")
-    members = written(keys.join(shared.select("key", "pivot"), "key"), "near-buckets")
+    members = written(keys.join(shared.select("key", "m", "pivot"), "key"), "near-buckets")
     pairs = members.filter("v <> pivot").select(F.col("pivot").alias("a"), F.col("v").alias("b")).distinct()
-    labels, links = None, None
-    left = members.filter("v <> pivot").select("key", "v")
-    pivots = 1
-    while True:
-        more = links_among(pairs, classes, docs, width)
-        if not more.isEmpty():
-            links = more if links is None else links.unionByName(more)
-            # Good enough to tell most members that need no comparison; the end makes them final.
-            labels = spread(in_both_directions(links), labels).select("v", "label")
-        pivots *= MORE_PIVOTS
-        # Buckets whose remaining members are, as far as known, in several components.
-        known = left if labels is None else left.join(labels, "v", "left")
-        known = known.select("key", "v", (F.col("v") if labels is None else F.coalesce("label", "v")).alias("label"))
-        open_ = known.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi")
-        take = F.pmod(F.xxhash64("v", F.lit(pivots)), F.greatest(F.lit(1), F.ceil(F.col("m") / pivots)).cast("bigint")) == 0
-        rest = written(known.join(open_.select("key", "m"), "key").withColumn("pivot", take), "near-open")
-        if rest.isEmpty():
-            return None if links is None else components(links, labels)
-        p = rest.filter("pivot").select("key", F.col("v").alias("p"), F.col("label").alias("pl"))
-        met = rest.join(p, "key").filter("label <> pl")
-        pairs = written(met.select(F.least("v", "p").alias("a"), F.greatest("v", "p").alias("b")).distinct(), "near-pairs")
-        left = rest.filter("NOT pivot").select("key", "v")
+    links = links_among(pairs, classes, docs, width)
+    labels = None if links.isEmpty() else components(links)
+    # Buckets of which more than the pivot is left to compare.
+    left = members.filter("m > 2 AND v <> pivot").select("key", "v")
+    if labels is not None:
+        left = left.join(labels, "v", "left")
+    label = F.col("v") if labels is None else F.coalesce("label", "v")
+    of_class = classes.select("v", "digest", "n_shingles")
+    met = written(blocks_of(left.withColumn("label", label).join(of_class, "v")), "near-blocks")
+    wanted = met.select(F.col("v").alias("doc_id")).distinct()
+    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").select(F.col("doc_id").alias("v"), "text")
+    held = met.join(classes.select("digest", "signature"), "digest").join(texts, "v")
+    more = held.groupBy("key", "a", "b").applyInArrow(_settle(width), "a long, b long")
+    more = written(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-links")
+    if more.isEmpty():
+        return labels
+    return components(links.unionByName(more), labels)
 
 
 def group(docs: DataFrame, width: int = WIDTH) -> DataFrame:
