@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 #: White space between words: the six ASCII space characters.
 SPACES = " \t\n\x0b\f\r"
@@ -21,3 +21,8 @@ def n_words(text: Column) -> Column:
 def n_matches(text: Column, chars: str) -> Column:
     """Characters of a regex class ``[chars]`` in a text without nulls."""
     return F.char_length(text) - F.char_length(F.regexp_replace(text, f"[{chars}]+", ""))
+
+
+def boxed(docs: DataFrame, *names: str) -> DataFrame:
+    """All columns of ``docs`` as one struct ``row``, and ``names`` beside it: work columns then clash with none."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *names)

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .columns import n_words
+from .columns import boxed, n_words
 from .store import written
 
 #: Leading hexadecimal digits of the sampling key that name a bucket.
@@ -161,10 +161,9 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), max_epochs: int = 3
 
 
 def mixed_documents(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), max_epochs: int = 3, seed: str = "mix-1") -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as the mix takes it, all its columns kept."""
-    names = docs.columns
+    """The mix itself: every row of ``docs`` as often as the mix takes it, all its columns kept, whatever their names."""
     sizes = written(sized(docs.select("doc_id", "source", "text"), seed).drop("text"), "mixing-sizes")
-    rows = repetitions(sized(docs, seed), source_plan(sizes, weights, max_epochs))
+    rows = repetitions(sized(boxed(docs, "doc_id", "source", "text"), seed), source_plan(sizes, weights, max_epochs))
     # The outer form, as the other lets the optimizer add a filter that counts the words once more.
     copies = F.explode_outer(F.array_repeat(F.lit(True), F.col("__times").cast("int")))
-    return rows.select(*names, copies.alias("__copy")).filter("__copy").select(*names)
+    return rows.select("row", copies.alias("__copy")).filter("__copy").select("row.*")

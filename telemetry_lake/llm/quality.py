@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .columns import SPACES, n_matches, words
+from .columns import boxed, n_matches, SPACES, words
 
 #: Labelled rows that fit the rules: the first by a hash of their id. Everything else sees all rows.
 MAX_LABELLED = 12_000
@@ -235,5 +235,5 @@ def judge(docs: DataFrame, rules: list[Rule]) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame, rules: list[Rule]) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, all columns."""
-    return with_statistics(docs).filter(~rejects(rules)).select(*docs.columns)
+    """The rows of ``docs`` that the rules keep, all columns, whatever their names."""
+    return with_statistics(boxed(docs, "text")).filter(~rejects(rules)).select("row.*")

@@ -66,6 +66,8 @@ class Symbols:
 
     def runs(self, seed: int) -> "Symbols":
         """Runs of equal symbols become one. Whether a symbol is in a run depends on both neighbours."""
+        if not len(self.s):
+            return self
         left, right = self._neighbours()
         first = np.ones(len(self.s), bool)
         first[1:] = (self.name[1:] != self.name[:-1]) | (self.doc[1:] != self.doc[:-1])
@@ -77,6 +79,8 @@ class Symbols:
 
     def pairs(self, seed: int) -> "Symbols":
         """A symbol of the left side and a following one of the right side become one."""
+        if not len(self.s):
+            return self
         left, right = self._neighbours()
         is_right = (mix64(self.name ^ np.uint64(seed)) & np.uint64(1)).astype(bool)
         joined = np.zeros(len(self.s), bool)  # with the next one
@@ -304,9 +308,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 np.add.at(drop, ends[gone], -1)
                 text = np.frombuffer(text, np.uint8)[np.cumsum(drop[:-1]) == 0].tobytes()
             out.append(text)
-        at = batch.schema.get_field_index("text")
-        new = batch.set_column(at, "text", pa.array(out, pa.binary()).cast(pa.string()))
-        yield new.drop_columns(["o", "r", "ranges"])
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.binary()).cast(pa.string())], names=["row", "text"])
 
 
 def _with_ranges(docs: DataFrame) -> DataFrame:
@@ -334,6 +336,11 @@ def dedup(docs: DataFrame) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with the repeated words cut out of ``text``; rows that have no words left go."""
-    rows = _with_ranges(docs).select(*docs.columns, "o", "r", "ranges")
-    return rows.mapInArrow(_cut, docs.schema).filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    """``docs`` with the repeated words cut out of ``text``; rows that have no words left go.
+
+    All other columns stay as they are, whatever their names. For odd rows see :func:`dedup`.
+    """
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")
+    rows = _with_ranges(docs.select(rest, "doc_id", "text")).select("row", "text", "ranges")
+    cut = rows.mapInArrow(_cut, rows.drop("ranges").schema).filter(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    return cut.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`") for c in docs.columns])

@@ -181,3 +181,19 @@ def test_all_stages(spark, tmp_path, monkeypatch):
     same(mix, mixed(cut))
     assert len(mix) > len({key(r) for r in mix})
     check_packed(mix, result.collect())
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Columns named like the operators' own pass through each stage."""
+    names = ["r", "o", "ranges", "row", "__w", "__stats", "__plan", "__key", "__size", "__copy", "size", "key", "a", "x.y"]
+    words = [" ".join(f"w{i}x{k}" for i in range(40 + k)) for k in range(12)]
+    rows = [(k, t, "en", "s", len(t), *[f"{n}{k}" for n in names]) for k, t in enumerate(words)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{n}` string" for n in names)
+    docs = spark.createDataFrame(rows, schema)
+    kept = quality.kept_documents(docs, [])
+    for stage in (lambda d: quality.kept_documents(d, []), corpus_pipeline.one_of_each, corpus_pipeline.cut_repeats, corpus_pipeline.mix_sources):
+        kept = stage(spark, docs, "") if stage.__module__ == corpus_pipeline.__name__ else stage(docs)
+        assert kept.columns == docs.columns
+        assert {tuple(r) for r in kept.collect()} == set(rows)
+    places = packing.pack(docs, packing.default_tokenizer())
+    assert places.select("doc_id").distinct().count() == len(rows)

@@ -73,3 +73,14 @@ def test_odd_rows(spark):
     assert texts[6] == rows[5][1]
     assert texts[7] == rows[6][1][len(p) + 1 :]
     assert 5 in texts and 1 not in texts and 3 not in texts
+
+
+def test_tables_and_partitions_without_words(spark):
+    blank = spark.createDataFrame([(1, None), (2, ""), (3, " \n")], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["n_words"], r["n_removed"]) for r in substrings.dedup(blank).collect()) == [(1, 0, 0), (2, 0, 0), (3, 0, 0)]
+    assert substrings.without_repeats(blank).count() == 0
+    passage = " ".join(f"w{i}" for i in range(30))
+    good = spark.createDataFrame([(4, passage), (5, passage + " more")], "doc_id long, text string")
+    both = blank.coalesce(1).union(good.coalesce(1))
+    assert sorted((r["doc_id"], r["n_removed"]) for r in substrings.dedup(both).collect()) == [(1, 0), (2, 0), (3, 0), (4, 0), (5, 30)]
+    assert [(r["doc_id"], r["text"]) for r in substrings.without_repeats(both).orderBy("doc_id").collect()] == [(4, passage), (5, "more")]
