@@ -159,6 +159,16 @@ def _verify(width: int):
     return run
 
 
+def texts_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text`` of the documents named in ``ids``.
+
+    Written first, the ids have a known size: where they are few Spark sends them to the texts, instead of
+    moving all texts.
+    """
+    wanted = written(ids.distinct(), "near-wanted")
+    return docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
+
+
 def links_among(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """The pairs ``a``, ``b`` that are similar enough, by signatures and then by their full sets."""
     c = classes.select("v", "n_shingles", "signature")
@@ -166,8 +176,7 @@ def links_among(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: in
     y = c.select(F.col("v").alias("b"), F.col("n_shingles").alias("nb"), F.col("signature").alias("sb"))
     sized = pairs.join(x, "a").join(y, "b").filter(100 * F.least("na", "nb") >= THRESHOLD * F.greatest("na", "nb"))
     likely = written(sized.select("a", "b", "sa", "sb").mapInArrow(_prune, "a long, b long"), "near-likely")
-    wanted = likely.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
+    texts = texts_of(likely.select(F.explode(F.array("a", "b")).alias("doc_id")), docs)
     both = likely.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta")), "a").join(
         texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb")), "b"
     )
@@ -332,8 +341,7 @@ def link_classes(classes: DataFrame, docs: DataFrame, width: int = WIDTH) -> Dat
     label = F.col("v") if labels is None else F.coalesce("label", "v")
     of_class = classes.select("v", "digest", "n_shingles")
     met = written(blocks_of(left.withColumn("label", label).join(of_class, "v")), "near-blocks")
-    wanted = met.select(F.col("v").alias("doc_id")).distinct()
-    texts = docs.select("doc_id", "text").join(wanted, "doc_id", "left_semi").select(F.col("doc_id").alias("v"), "text")
+    texts = texts_of(met.select(F.col("v").alias("doc_id")), docs).withColumnRenamed("doc_id", "v")
     held = met.join(classes.select("digest", "signature"), "digest").join(texts, "v")
     more = held.groupBy("key", "a", "b").applyInArrow(_settle(width), "a long, b long")
     more = written(more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "near-links")
