@@ -121,8 +121,8 @@ def materialize(df: DataFrame, path: str) -> DataFrame:
 
 
 def write_high_water_mark(df: DataFrame, key: str, path: str) -> None:
-    """Persist the smallest key, i.e. the newest reversed time, as a one-line text."""
-    df.agg(F.min(key).alias("value")).write.mode("overwrite").text(path)
+    """Persist the smallest key, i.e. the newest reversed time, as a one-line text; without rows it is empty."""
+    df.agg(F.min(key).alias("value")).filter("value IS NOT NULL").write.mode("overwrite").text(path)
 
 
 def read_high_water_mark(spark: SparkSession, path: str, key: str) -> DataFrame:
