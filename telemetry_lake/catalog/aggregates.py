@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..operators.joins import without_tagged
 from ..operators.rollups import nest, with_group_stats
-from ..operators.skew import with_previous
+from ..operators.buckets import with_previous
 from ..plans import service_desk, telemetry_rollups, ticket_activity, usage
 from ..streaming.transforms import count_by, word_count as count_words
 from .registry import query

@@ -170,8 +170,15 @@ def _lookup(lake: Lake, how: str) -> DataFrame:
 
 
 def _global(lake: Lake, how: str) -> DataFrame:
-    stream = _streaming(lake).keyed_records("purchase")
-    return _written(lake, batch_joins.global_lookup(stream, lake.table("customer"), how), "global")
+    """Stream records against a replicated table, read afresh for every micro-batch."""
+    out = lake.work_dir("global")
+    lake.table("customer").write.parquet(f"{out}/table")
+
+    def look_up(batch: DataFrame) -> DataFrame:
+        return batch_joins.global_lookup(batch, io.live_lookup(batch.sparkSession, f"{out}/table"), how)
+
+    io.lookup_to_files(_streaming(lake).keyed_records("purchase"), look_up, f"{out}/data", f"{out}/checkpoint").awaitTermination()
+    return lake.spark.read.parquet(f"{out}/data").drop("batch")
 
 
 _LOOKUP_SQL = """

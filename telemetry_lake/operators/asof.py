@@ -9,7 +9,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
-from .skew import MAX_GROUP_ROWS, SLICE, with_slices
+from .buckets import BUCKET, HOUR, STEPS, bucket_of, handed_over, micros
 
 #: Pieces over which left rows without a key or time spread; they match nothing.
 UNMATCHABLE_PIECES = 4096
@@ -49,11 +49,12 @@ def asof_join(
     direction: str = "backward",
     strict: bool = False,
     tiebreak: Sequence[str] = (),
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int | None = None,
+    width: dt.timedelta | int | None = None,
 ) -> DataFrame:
     """:func:`asof_join_all` with one table."""
     lookup = Lookup(right, right_time, tolerance, tiebreak)
-    return asof_join_all(left, [lookup], on, left_time, direction, strict, max_group_rows)
+    return asof_join_all(left, [lookup], on, left_time, direction, strict, max_group_rows, width)
 
 
 def asof_join_all(
@@ -63,7 +64,8 @@ def asof_join_all(
     left_time: str,
     direction: str = "backward",
     strict: bool = False,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int | None = None,
+    width: dt.timedelta | int | None = None,
 ) -> DataFrame:
     """Keep every ``left`` row and add the matching columns of each lookup, or nulls.
 
@@ -72,9 +74,12 @@ def asof_join_all(
     match, nor do null keys or times. Among rows of equal time the last one by ``tiebreak`` wins
     backward and the first one forward; without it the choice is open.
 
-    All tables meet in one shuffle and one sort on ``(key, slice)``: looked-up rows sort among the
-    left rows and the last one of each table is carried along, so no pairs are produced. The
-    inputs are read once more for the size of the keys; hand in stored tables, not long lineages.
+    All tables meet in one shuffle and one sort on ``(key, bucket)``: looked-up rows sort among the
+    left rows and the last one of each table is carried along, so no pairs are produced. Buckets have
+    the fixed ``width``, an hour by default or 65,536 steps of an integral order, so that a task's rows
+    do not grow with a key's; what a bucket inherits is aggregated from a second reading of the
+    inputs: hand in stored tables, not long lineages. ``max_group_rows`` belonged to an earlier layout;
+    it is accepted and has no effect.
     """
     if direction not in ("backward", "forward"):
         raise ValueError(f"direction must be 'backward' or 'forward', not {direction!r}")
@@ -105,13 +110,14 @@ def asof_join_all(
             F.struct("__o", *[F.col(c) for c in added[i]]).alias(f"__r{i}"),
         )
         both = both.unionByName(rows, allowMissingColumns=True)
+    if width is None:
+        width = HOUR if isinstance(left.schema[left_time].dataType, (T.TimestampType, T.TimestampNTZType)) else STEPS
     # Left rows that cannot match need no order: spread them instead of meeting in one null group.
     unmatchable = F.col("__o").isNull()
-    piece = -1 - F.pmod(F.xxhash64("__l"), F.lit(UNMATCHABLE_PIECES))
-    sliced = with_slices(both, on, "__o", max_group_rows)
-    both = sliced.withColumn(SLICE, F.when(unmatchable, piece).otherwise(F.col(SLICE)))
+    piece = F.when(unmatchable, F.pmod(F.xxhash64("__l"), F.lit(UNMATCHABLE_PIECES)))
+    both = both.withColumns({BUCKET: bucket_of(F.col("__o"), micros(width)), "__piece": piece})
 
-    ends, tie_order = [], []
+    ends, tie_order = {}, []
     for i, lookup in enumerate(lookups):
         row = F.col(f"__r{i}")
         ties = [row[c] for c in lookup.tiebreak]
@@ -121,27 +127,19 @@ def asof_join_all(
         else:
             last = F.min_by(row, F.when(row.isNotNull(), F.struct(-F.col("__o"), *ties)))
             tie_order += [t.desc_nulls_last() for t in ties]
-        ends.append(last.alias(f"__r{i}"))
+        ends[f"__r{i}"] = last
     carried = [f"__r{i}" for i in added]
-    earlier = Window.partitionBy(*on).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     last_time = F.greatest(*[F.col(c)["__o"] for c in carried]) if len(carried) > 1 else F.col(carried[0])["__o"]
-    # What a slice inherits from the slices before it enters as one more looked-up row.
-    handed_over = (
-        sliced.filter(F.col(SLICE).isNotNull())
-        .groupBy(*on, SLICE)
-        .agg(*ends)
-        .withColumns({c: F.last(c, ignorenulls=True).over(earlier) for c in carried})
-        .withColumn("__o", last_time)
-        .filter(F.col("__o").isNotNull())
-        .withColumn("__rank", F.lit(right_rank))
-    )
+    # What a bucket with left rows inherits from the buckets before enters as one more looked-up row.
+    inherited = handed_over(both.filter(~unmatchable), on, ends, F.col("__l").isNotNull())
+    inherited = inherited.withColumns({"__o": last_time, "__rank": F.lit(right_rank)})
     so_far = (
-        Window.partitionBy(*on, SLICE)
+        Window.partitionBy(*on, BUCKET, "__piece")
         .orderBy("__o", "__rank", *tie_order)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     seen = (
-        both.unionByName(handed_over, allowMissingColumns=True)
+        both.unionByName(inherited, allowMissingColumns=True)
         .withColumns({c: F.last(c, ignorenulls=True).over(so_far) for c in carried})
         .filter(F.col("__l").isNotNull())
     )

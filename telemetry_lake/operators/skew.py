@@ -1,22 +1,20 @@
-"""Cutting hot groups into slices before per-group ordered work.
+"""Cutting hot groups into slices, for callers that know which keys are hot.
 
-A window over ``partitionBy(key)`` puts a whole key into one task. Where one key
-may hold a large share of all rows, the ordered operators partition by
-``(key, slice)`` instead and hand the state at each slice start over as one extra row.
-Keys below the limit keep a single (null) slice and cost nothing extra.
+The ordered operators of this library use :mod:`buckets` instead, which need no counting pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
+
+from . import buckets
 
 #: Rows one task should see of one key; larger keys are cut.
 MAX_GROUP_ROWS = 2_000_000
-#: Bound on the broadcast table of cut keys. A key beyond it is merely not cut;
-#: slices change the layout, never the result.
-MAX_HOT_GROUPS = 100_000
 #: Slices per ``max_rows`` share, so that uneven arrival still stays near the limit.
 OVERSPLIT = 8
 
@@ -30,19 +28,17 @@ def with_slices(df: DataFrame, keys: Sequence[str], order: str, max_rows: int =
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("__n"), F.min(order).alias("__lo"), F.max(order).alias("__hi"))
         .filter(F.col("__n") > max_rows)
-        .orderBy(F.desc("__n"))
-        .limit(MAX_HOT_GROUPS)
         .select(
-            *keys,
+            *[F.col(k).alias(f"__hot_{k}") for k in keys],
             "__lo",
             ((F.col("__hi") - F.col("__lo")) / (F.ceil(F.col("__n") / max_rows) * OVERSPLIT) + 1)
             .cast("bigint")
             .alias("__width"),
         )
     )
-    # At most MAX_HOT_GROUPS rows of keys and two numbers: always small enough to broadcast.
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"__hot_{k}")) for k in keys])
     piece = F.floor((F.col(order) - F.col("__lo")) / F.col("__width"))
-    return df.join(F.broadcast(hot), list(keys), "left").withColumn(SLICE, piece).drop("__lo", "__width")
+    return df.join(hot, same, "left").withColumn(SLICE, piece).drop("__lo", "__width", *[f"__hot_{k}" for k in keys])
 
 
 def with_previous(
@@ -51,25 +47,8 @@ def with_previous(
     order: str,
     into: str,
     tiebreak: Sequence[str] = (),
-    max_rows: int = MAX_GROUP_ROWS,
+    max_rows: int | None = None,
+    width: int = buckets.STEPS,
 ) -> DataFrame:
-    """Add ``into``: the ``order`` value of the row before, per key (null on the first row).
-
-    ``order`` is an integral column without nulls.
-    """
-    sliced = with_slices(df, keys, order, max_rows)
-    by_slice = Window.partitionBy(*keys).orderBy(SLICE)
-    # The last value of each earlier slice enters the next one as a marked row.
-    handed_over = (
-        sliced.filter(F.col(SLICE).isNotNull())
-        .groupBy(*keys, SLICE)
-        .agg(F.max(order).alias("__last"))
-        .select(*keys, SLICE, F.lag("__last").over(by_slice).alias(order))
-        .filter(F.col(order).isNotNull())
-        .withColumn("__extra", F.lit(True))
-    )
-    rows = sliced.withColumn("__extra", F.lit(False)).unionByName(handed_over, allowMissingColumns=True)
-    in_slice = Window.partitionBy(*keys, SLICE).orderBy(order, F.desc("__extra"), *tiebreak)
-    return (
-        rows.withColumn(into, F.lag(order).over(in_slice)).filter(~F.col("__extra")).drop("__extra", SLICE)
-    )
+    """:func:`buckets.with_previous`. ``max_rows`` belonged to an earlier layout; it has no effect."""
+    return buckets.with_previous(df, keys, order, into, tiebreak, width)

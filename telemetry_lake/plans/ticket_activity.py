@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.asof import asof_join
-from ..operators.skew import MAX_GROUP_ROWS, with_previous
+from ..operators.buckets import with_previous
 from ..schemas import TICKET_STATUSES
 
 IMPUTE_WITHIN = dt.timedelta(days=100)
@@ -39,7 +39,7 @@ def activity_timeline(activity: DataFrame) -> DataFrame:
     return created.unionByName(updates)
 
 
-def status_spells(activity: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def status_spells(activity: DataFrame, max_group_rows: int | None = None) -> DataFrame:
     """Seconds each ticket spent in the status that an update ended.
 
     Only times and old values matter here, so the imputed status is not computed.
@@ -47,13 +47,13 @@ def status_spells(activity: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) ->
     created = _created(activity).withColumn("OldValue", F.lit(None).cast("string"))
     events = created.unionByName(_updated(activity).drop("NewValue"))
     timed = events.withColumn("second", F.unix_timestamp("time")).filter(F.col("second").isNotNull())
-    stepped = with_previous(timed, ["Ticket"], "second", "before", ["time"], max_group_rows)
+    stepped = with_previous(timed, ["Ticket"], "second", "before", ["time"])
     return stepped.select(
         "Ticket", F.col("OldValue").alias("Status"), (F.col("second") - F.col("before")).alias("seconds")
     ).dropna()
 
 
-def status_durations(activity: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def status_durations(activity: DataFrame, max_group_rows: int | None = None) -> DataFrame:
     """Seconds per ticket and status, one column per status, 0 where never entered."""
     spells = status_spells(activity, max_group_rows)
     return spells.groupBy("Ticket").pivot("Status", TICKET_STATUSES).sum("seconds").fillna(0)

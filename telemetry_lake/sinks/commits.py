@@ -49,6 +49,10 @@ class Files:
         found = self.fs.listStatus(self.path(name))
         return sorted(x.getPath().getName() for x in found if folders is None or x.isDirectory() == folders)
 
+    def size(self, name: str = "") -> int:
+        """Bytes of all files below a folder."""
+        return self.fs.getContentSummary(self.path(name)).getLength()
+
     def make(self, name: str = "") -> None:
         self.fs.mkdirs(self.path(name))
 

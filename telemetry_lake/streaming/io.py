@@ -11,6 +11,11 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.numbers import long_from_bytes
 from ..session import ROCKSDB_PROVIDER
 from ..sinks.changelog import append_changes
+from ..sinks.commits import Files
+
+
+#: Files of a lookup table, compressed, that are still sent to all tasks.
+BROADCAST_BYTES = 8 << 20
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -132,6 +137,16 @@ def lookup_to_files(
     return _each_batch(stream, store, checkpoint, "append", once)
 
 
+def live_lookup(spark: SparkSession, path: str, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """The table at ``path`` as it is now, for the lookups of one micro-batch.
+
+    Its files are listed afresh. Up to ``most_bytes`` of them the table is sent to all tasks, as a
+    replicated table is; a larger one meets the micro-batch in a shuffle.
+    """
+    table = spark.read.parquet(path)
+    return F.broadcast(table) if Files(spark, path).size() <= most_bytes else table
+
+
 def _each_batch(
     df: DataFrame, store: Callable[[DataFrame, int], None], checkpoint: str, mode: str, once: bool
 ) -> StreamingQuery:

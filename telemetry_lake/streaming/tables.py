@@ -1,90 +1,39 @@
 """Table-table joins on two change streams.
 
 Spark has no join of two continuously updated tables: a stream-stream join would keep and
-pair every old version. Here the state of a key is one current value per side.
+pair every old version. Here a streaming aggregate holds the current value per key and side; its partial
+aggregates reduce each micro-batch to one change per key before the shuffle.
 """
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F, types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import render_pair
 
-# The two helpers below travel with the query, so that workers need no copy of this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
-
-def _newest_per_key(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Map-side reduction: of each Arrow batch keep the last change per key and side."""
-    for batch in batches:
-        yield batch.sort_values("offset").drop_duplicates(["key", "side"], keep="last")
-
-
-class _CurrentPair(StatefulProcessor):
-    """Holds the current value of both sides and reports the pair after each micro-batch."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        kinds = {"l": T.StringType(), "l_offset": T.LongType(), "r": T.StringType(), "r_offset": T.LongType()}
-        state = T.StructType([T.StructField(name, kind) for name, kind in kinds.items()])
-        self._pair = handle.getValueState("pair", state)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        stored = self._pair.get() if self._pair.exists() else (None, None, None, None)
-        current = {"l": (stored[0], stored[1]), "r": (stored[2], stored[3])}
-        for batch in rows:
-            for side, offset, value in batch[["side", "offset", "value"]].itertuples(index=False, name=None):
-                if current[side][1] is None or offset >= current[side][1]:
-                    current[side] = (None if pd.isna(value) else value, int(offset))
-        (l, l_offset), (r, r_offset) = current["l"], current["r"]
-        if l is None and r is None:
-            self._pair.clear()
-        else:
-            self._pair.update((l, l_offset, r, r_offset))
-        version = max(o for o in (l_offset, r_offset) if o is not None)
-        yield pd.DataFrame(
-            {
-                "key": [key[0]],
-                "l": pd.Series([l], dtype="object"),
-                "r": pd.Series([r], dtype="object"),
-                "offset": [version],
-            }
-        )
-
-    def close(self) -> None:
-        pass
-
 
 def join_table_streams(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
     """Join two change streams ``(key string, value, offset)`` as tables; null values delete.
 
-    ``offset`` orders the changes of both streams. Emits ``(key, value, offset)`` whenever either
-    side changes, once per key and micro-batch; a null value says the pair left the result.
+    The offsets of a stream order its own changes only; those of the two need not be comparable. Among
+    changes of one offset the larger value counts. Emits ``(key, value, offset)`` whenever either side
+    changes, once per key and micro-batch; a null value says the pair left the result. The ``offset``
+    emitted is the number of changes of the key so far: it rises with each row of a key, whichever side
+    changed, so the newest row of a key has the largest. A key's state stays after both sides deleted it.
     """
     if how not in ("inner", "left", "full"):
         raise ValueError(f"unsupported table join {how!r}")
-    left_type, right_type = left.schema["value"].dataType, right.schema["value"].dataType
 
     def tagged(df: DataFrame, side: str) -> DataFrame:
-        return df.select(
-            "key", F.lit(side).alias("side"), F.col("value").cast("string").alias("value"),
-            F.col("offset").cast("bigint").alias("offset"),
-        )
+        value = F.col("value").cast("string").alias("value")
+        return df.select("key", F.lit(side).alias("side"), F.struct(F.col("offset").cast("bigint").alias("offset"), value).alias("change"))
+
+    def newest(side: str) -> Column:
+        return F.max(F.when(F.col("side") == side, F.col("change")))
 
-    schema = "key string, side string, value string, offset bigint"
-    changes = tagged(left, "l").union(tagged(right, "r")).mapInPandas(_newest_per_key, schema)
-    pairs = changes.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=_CurrentPair(),
-        outputStructType="key string, l string, r string, offset bigint",
-        outputMode="update",
-        timeMode="none",
-    )
-    has_left, has_right = F.col("l").isNotNull(), F.col("r").isNotNull()
-    in_result = {"inner": has_left & has_right, "left": has_left, "full": has_left | has_right}[how]
-    text = render_pair(F.col("l"), left_type, F.col("r"), right_type)
+    changes = tagged(left, "l").unionByName(tagged(right, "r"))
+    pairs = changes.groupBy("key").agg(newest("l").alias("l"), newest("r").alias("r"), F.count(F.lit(1)).alias("offset"))
+    l, r = F.col("l.value"), F.col("r.value")
+    in_result = {"inner": l.isNotNull() & r.isNotNull(), "left": l.isNotNull(), "full": l.isNotNull() | r.isNotNull()}[how]
+    text = render_pair(l, left.schema["value"].dataType, r, right.schema["value"].dataType)
     return pairs.select("key", F.when(in_result, text).alias("value"), "offset")
