@@ -3,13 +3,25 @@
 Every batch appends only its own latest value per key, under its batch number, so the cost
 follows the changes and a replayed batch overwrites itself. Reading takes the latest
 change per key; null values delete.
+
+A log that grows is folded in levels: :data:`FOLD` neighbouring runs of a level become one run of the next,
+which keeps the latest change per key. Each change is rewritten once per level, and a reader opens at
+most :data:`FOLD` runs of each. A commit switches readers over to the new run; the runs it replaces
+are removed with the commit after, so that a reader that began before it ends in peace.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.joins import current_table, latest_per_key
+from .commits import CommitLog, Files
+
+#: Runs of a level that become one.
+FOLD = 8
+FOLDS = "_folds"
 
 
 def append_changes(changes: DataFrame, path: str, batch: int, key: str, value: str, offset: str) -> None:
@@ -18,7 +30,49 @@ def append_changes(changes: DataFrame, path: str, batch: int, key: str, value: s
 
 
 def read_current(spark: SparkSession, path: str, key: str, value: str, offset: str) -> DataFrame:
-    return current_table(spark.read.parquet(path).drop("batch"), key, value, offset)
+    return current_table(spark.read.parquet(*live_runs(spark, path)).drop("batch"), key, value, offset)
+
+
+def _runs(spark: SparkSession, path: str) -> tuple[CommitLog, int, dict, list[dict]]:
+    """The log of folds, its newest number and entry, and all runs in order: folded ones, then batches."""
+    log = CommitLog(spark, f"{path.rstrip('/')}/{FOLDS}")
+    last = log.last()
+    entry = log.read(last) if last else {"upto": -1, "runs": [], "replaced": []}
+    batches = sorted(int(n[6:]) for n in Files(spark, path).names(folders=True) if n.startswith("batch="))
+    newer = [{"folder": f"batch={b}", "level": 0, "upto": b} for b in batches if b > entry["upto"]]
+    return log, last, entry, [*entry["runs"], *newer]
+
+
+def live_runs(spark: SparkSession, path: str) -> list[str]:
+    """Paths that together hold the newest change of every key."""
+    _, last, _, runs = _runs(spark, path)
+    return [f"{path.rstrip('/')}/{r['folder']}" for r in runs] if last else [path]
+
+
+def fold_levels(spark: SparkSession, path: str, key: str, offset: str, fold: int = FOLD) -> None:
+    """Fold what has become foldable; to be called after each batch.
+
+    The newest batch is left out, as a restarted stream may write it again. Two callers at once do not
+    harm: only one of them commits.
+    """
+    lake = Files(spark, path)
+    while True:
+        log, last, entry, runs = _runs(spark, path)
+        settled = runs if runs and runs[-1]["folder"].startswith(FOLDS) else runs[:-1]
+        starts = [i for i in range(len(settled) - fold + 1) if len({r["level"] for r in settled[i : i + fold]}) == 1]
+        if not starts:
+            return
+        old = settled[starts[0] : starts[0] + fold]
+        into = f"{FOLDS}/{uuid.uuid4().hex}"
+        changes = spark.read.parquet(*[f"{lake.root}/{r['folder']}" for r in old])
+        latest_per_key(changes, key, offset).write.parquet(f"{lake.root}/{into}")
+        new = {"folder": into, "level": old[0]["level"] + 1, "upto": old[-1]["upto"]}
+        kept = [*settled[: starts[0]], new, *settled[starts[0] + fold :]]
+        if not log.commit(last + 1, {"upto": kept[-1]["upto"], "runs": kept, "replaced": [r["folder"] for r in old]}):
+            lake.remove(into)
+            return
+        for folder in entry["replaced"]:
+            lake.remove(folder)
 
 
 def fold_changes(spark: SparkSession, path: str, into: str, key: str, offset: str) -> None:

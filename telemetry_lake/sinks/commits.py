@@ -98,6 +98,9 @@ class CommitLog:
         """Number of the newest commit, 0 if there is none."""
         return max((int(n[:-5]) for n in self.files.names() if re.fullmatch(r"\d+\.json", n)), default=0)
 
+    def read(self, number: int) -> dict:
+        return json.loads(self.files.read(f"{number:08d}.json"))
+
     def commits(self, since: int = 0) -> list[Commit]:
         """Commits with a number above ``since``, in order."""
         names = set(self.files.names())

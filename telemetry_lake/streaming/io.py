@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.numbers import long_from_bytes
 from ..session import ROCKSDB_PROVIDER
-from ..sinks.changelog import append_changes
+from ..sinks.changelog import append_changes, fold_levels
 from ..sinks.commits import Files
 
 
@@ -105,6 +105,7 @@ def to_table(
 
     def store(batch: DataFrame, batch_id: int) -> None:
         append_changes(batch, path, batch_id, key, value, offset)
+        fold_levels(batch.sparkSession, path, key, offset)
 
     return _each_batch(changes, store, checkpoint, mode, once)
 
@@ -118,6 +119,7 @@ def to_count_table(counts: DataFrame, path: str, checkpoint: str, key: str, once
     def store(batch: DataFrame, batch_id: int) -> None:
         numbered = batch.select(key, "count", F.lit(batch_id).cast("bigint").alias("version"))
         numbered.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        fold_levels(batch.sparkSession, path, key, "version")
 
     return _each_batch(counts, store, checkpoint, "update", once)
 
