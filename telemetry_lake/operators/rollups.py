@@ -14,7 +14,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 
 def period_columns(ts: Column, period: str) -> list[Column]:
-    """Grouping columns of a calendar period."""
+    """Grouping columns of a calendar period.
+
+    Years, months and ``date`` follow the session's time zone; ``day`` is the tumbling window of 24
+    hours from the epoch on, which a local month may cut. Parts of a month are therefore dates.
+    """
     year, month = F.year(ts).alias("year"), F.month(ts).alias("month")
     if period == "year":
         return [year]
@@ -22,6 +26,8 @@ def period_columns(ts: Column, period: str) -> list[Column]:
         return [year, month]
     if period == "day":
         return [F.window(ts, "1 day").alias("window")]
+    if period == "date":
+        return [F.to_date(ts).alias("date")]
     raise ValueError(f"unknown period {period!r}")
 
 
@@ -41,7 +47,7 @@ def roll_up(df: DataFrame, keys: Sequence[str], ts: str, period: str, measures:
     grouped = df.groupBy(*keys, *period_columns(time, period)).agg(
         F.min(time).alias("start"), F.max(time).alias("end"), F.count(time).alias("records"), *measures
     )
-    return grouped.drop("year", "month", "window")
+    return grouped.drop("year", "month", "window", "date")
 
 
 def with_calendar(df: DataFrame, *parts: str) -> DataFrame:

@@ -38,7 +38,7 @@ def long_records(device_metrics: DataFrame, prefix: str = "AAE") -> DataFrame:
 
 
 def intervals(records: DataFrame, period: str) -> DataFrame:
-    """Statistics per device, metric and ``year``, ``month`` or ``day``."""
+    """Statistics per device, metric and ``year``, ``month``, ``day`` (from midnight UTC) or ``date`` (local)."""
     rolled = _with_total(records, period)
     return rolled.select(*KEYS, F.lit(period).alias("duration"), *ITEM)
 
@@ -67,5 +67,5 @@ def yearly_breakdown(records: DataFrame) -> DataFrame:
 
 
 def monthly_breakdown(records: DataFrame) -> DataFrame:
-    """Months with the ordered list of their days."""
-    return _nested(records, "month", "day", ["year", "month"])
+    """Months with the ordered list of their days, both in the session's time zone."""
+    return _nested(records, "month", "date", ["year", "month"])

@@ -43,7 +43,7 @@ def traffic(history: DataFrame, terminals: DataFrame, metrics: DataFrame, proper
 
 
 def usage(records: DataFrame, period: str) -> DataFrame:
-    """First and last time, records and sum per modem and ``month`` or ``day``."""
+    """First and last time, records and sum per modem and ``month``, ``day`` (from midnight UTC) or ``date`` (local)."""
     return roll_up(records, ["ModemSerial"], "timestamp", period, [F.sum("Data").alias("used")])
 
 
@@ -57,7 +57,7 @@ def usage_by_remote(records: DataFrame, remote_table: DataFrame) -> DataFrame:
     """Monthly usage per remote with its daily breakdown; ``RemoteSerial`` is the modem serial."""
     size = si_prefix(F.col("used")).alias("SI")
     day = ["start", "end", "records", "used", size]
-    months = nest(usage(records, "day"), ["ModemSerial"], ["year", "month"], day, [F.sum("used").alias("used")])
+    months = nest(usage(records, "date"), ["ModemSerial"], ["year", "month"], day, [F.sum("used").alias("used")])
     return months.join(remotes(remote_table), "ModemSerial").select(
         "RemoteId", "RemoteName", F.col("ModemSerial").alias("RemoteSerial"), "year", "month", "start", "end",
         "records", "used", size, "breakdown",

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
 import random
 
 import pytest
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from telemetry_lake.operators import joins, reshape, rollups
 from telemetry_lake.operators.asof import Lookup, asof_join, asof_join_all
 from telemetry_lake.operators.skew import with_previous, with_slices
-from telemetry_lake.operators.spatial import spatial_join
+from telemetry_lake.operators.spatial import CELLS, cell_cover, spatial_join
 from telemetry_lake.sinks.files import json_array_documents
 
 LONG = "k string, {0} bigint, {1} string"
@@ -196,6 +197,52 @@ def test_spatial_join_against_brute_force(spark):
     assert sorted((r["id"], r["name"]) for r in got.collect()) == expected and expected
 
 
+def test_spatial_join_of_thin_huge_and_tiny_polygons(spark):
+    """Few cells each, whatever the shape; the result is that of the plain test of all pairs."""
+    rng = random.Random(12)
+    circle = [(5000 + 5000 * math.cos(a / 50 * math.pi), 5000 + 5000 * math.sin(a / 50 * math.pi)) for a in range(100)]
+    hole = [(5000 + 700 * math.cos(a / 9), 5000 + 400 * math.sin(a / 9)) for a in range(56)]
+    rings = {
+        "thin": [[(-1e6, 3.0), (1e6, 3.5), (1e6, 3.6), (-1e6, 3.1)]],
+        "huge": [circle, hole],
+        "square": [[(0.0, 0.0), (8.0, 0.0), (8.0, 8.0), (0.0, 8.0)]],
+        "tiny": [[(1.0, 1.0), (1.001, 1.0), (1.0, 1.001)]],
+        "line": [[(0.0, 0.0), (5.0, 5.0)]],
+        "dot": [[(2.0, 2.0)]],
+        "empty": [],
+        "broken": [[(0.0, 0.0), (float("nan"), 1.0), (1.0, 1.0)]],
+        "null": None,
+    }
+    points = [(rng.uniform(-50, 10100), rng.uniform(-50, 10100)) for _ in range(400)]
+    points += [(rng.uniform(-1e6, 1e6), rng.uniform(2.9, 3.7)) for _ in range(300)]
+    points += [(rng.uniform(0.9, 1.1), rng.uniform(0.999, 1.002)) for _ in range(200)]
+    points += [(float(a), float(b)) for a in range(-1, 10) for b in range(-1, 10)]
+    points += [(a, b) for polygon in rings.values() for ring in polygon or [] for a, b in ring]
+    rows = [(i, a, b) for i, (a, b) in enumerate(points)] + [(-1, None, 1.0), (-2, float("nan"), 3000.0)]
+
+    def within(a, b, polygon):
+        odd = False
+        for ring in polygon:
+            for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
+                if (y1 > b) != (y2 > b) and a < (x2 - x1) * (b - y1) / (y2 - y1) + x1:
+                    odd = not odd
+        return odd
+
+    table = spark.createDataFrame(list(rings.items()), "name string, rings array<array<struct<x: double, y: double>>>")
+    got = spatial_join(spark.createDataFrame(rows, "id int, px double, py double"), table, "px", "py", "rings", cell=1e-6)
+    whole = {name: polygon for name, polygon in rings.items() if polygon and name != "broken"}
+    expected = sorted((i, name) for i, a, b in rows[:-2] for name, polygon in whole.items() if within(a, b, polygon))
+    assert sorted((r["id"], r["name"]) for r in got.collect()) == expected
+    assert {name for _, name in expected} == {"thin", "huge", "square", "tiny"}
+    cells = cell_cover(table, "rings", 1e-6).groupBy("name").agg(
+        F.count("*").alias("n"), F.count_if(F.size("__edges") == 1).alias("inner"), F.max(F.size("__edges")).alias("most")
+    )
+    cells = {r["name"]: r for r in cells.collect()}
+    assert max(r["n"] for r in cells.values()) <= (CELLS + 1) ** 2 and cells["thin"]["n"] <= 2 * (CELLS + 1)
+    assert cells["huge"]["inner"] > 4 and cells["huge"]["most"] < 100
+    assert not {"empty", "broken", "null"} & set(cells)
+
+
 def test_melt_keeps_odd_names(spark):
     df = spark.createDataFrame([("d", 1.5, 2)], "id string, `+1.1V_D (V)` double, n int")
     rows = reshape.melt(df, ["id"], ["+1.1V_D (V)", "n"]).collect()

@@ -199,6 +199,31 @@ def test_pooled_statistics_equal_direct_ones(spark):
             assert got[k]["stddev"] == (None if row["stddev"] is None else pytest.approx(row["stddev"], rel=1e-9))
 
 
+def test_months_and_their_days_follow_the_zone(spark):
+    """A month that ends within a UTC day does not take the first hours of the next one."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        end = 1548997200  # 21:00 of 31 January there, 5:00 of 1 February in UTC
+        rows = [("AAE1", end, 1.0), ("AAE1", end + 4 * 3600, 2.0), ("AAE1", end - 6 * 3600, 4.0)]
+        records = telemetry_rollups.long_records(
+            spark.createDataFrame(rows, "ASMSerial string, `timestamp-S` bigint, altitude double")
+        )
+        months = {r["month"]: r for r in telemetry_rollups.monthly_breakdown(records).collect()}
+        assert {m: (r["records"], r["avg"], [d["records"] for d in r["breakdown"]]) for m, r in months.items()} == {
+            1: (2, 2.5, [2]), 2: (1, 2.0, [1]),
+        }
+        direct = {(r["records"], r["avg"]) for r in telemetry_rollups.intervals(records, "month").collect()}
+        assert direct == {(2, 2.5), (1, 2.0)}
+        traffic = spark.createDataFrame([("m", float(d), t) for _, t, d in rows], "ModemSerial string, Data double, t bigint")
+        traffic = traffic.select("ModemSerial", "Data", F.timestamp_seconds("t").alias("timestamp"))
+        remotes = spark.createDataFrame([("r", "name", "m")], "Id string, Name string, ModemSerial string")
+        used = {r["month"]: (r["used"], len(r["breakdown"])) for r in usage.usage_by_remote(traffic, remotes).collect()}
+        assert used == {1: (5.0, 1), 2: (2.0, 1)}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
 def test_long_records_are_distinct_per_metric(spark):
     rows = [
         ("AAE1", 5, 1.0, 7.0), ("AAE1", 5, 1.0, 7.0), ("AAE1", 5, 1.0, 8.0), ("AAE1", 5, None, 7.0), ("AAE1", 6, 1.0, 7.0),
