@@ -6,6 +6,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from telemetry_lake.llm import licenses, mixing, quality
@@ -102,6 +103,40 @@ def test_mix_meets_targets(spark):
     assert sorted((r["doc_id"], r["taken"]) for r in again) == sorted((r["doc_id"], r["taken"]) for r in rows)
 
 
+def test_mix_comes_within_a_thousandth_by_exchanges(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "source")
+    out = mixing.mix(docs).join(docs.select("doc_id", "source"), "doc_id")
+    sums = out.groupBy("source").agg(F.first("target").alias("target"), F.sum("taken").alias("taken")).collect()
+    assert sums and all(abs(r["taken"] - r["target"]) <= 1 + r["target"] / 1000 for r in sums)
+    assert out.filter("taken > 3 * size OR (size > 0 AND taken % size <> 0)").isEmpty()
+
+
+def test_mix_tells_rows_without_ids_apart_by_text(spark):
+    """Texts of one length without ids are a sample like others; equal rows share their fate."""
+    rows = [(None, f"w two x{i}", "abc"[min(i % 4, 2)]) for i in range(2000)] + [(None, "same", "d")] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    plan = {}
+    for r in mixing.mix(docs).collect():
+        plan.setdefault(r["target"], []).append(r["taken"])
+    big = {target: sum(taken) for target, taken in plan.items() if target > 100}
+    assert len(big) == 3 and all(abs(target - taken) <= 3 for target, taken in big.items())
+    mixed = mixing.mixed_documents(docs).groupBy("source").count().collect()
+    assert sum(r["count"] for r in mixed if r["source"] != "d") * 3 == sum(big.values())
+
+
+def test_exchange_corrects_an_overshoot(spark):
+    """7 words wanted, 5 and 5 taken: 2 comes in the place of one 5; then there is nothing to gain."""
+    plan = spark.createDataFrame(
+        [("s", 14, 7.0, 0, 7.0, "b", 10, [], [])],
+        "source string, source_size long, target double, whole long, __rest double, last_key string, __got long, "
+        "extra_keys array<string>, dropped_keys array<string>",
+    )
+    units = spark.createDataFrame([("s", "a", 5), ("s", "b", 5), ("s", "c", 2), ("s", "d", 9)], "source string, __key string, __size long")
+    got = mixing.exchanged(plan, units).first()
+    assert (got["__got"], got["extra_keys"], got["dropped_keys"]) == (7, ["c"], ["a"])
+    assert mixing.exchanged(spark.createDataFrame([got], plan.schema), units).first() == got
+
+
 def test_mix_of_odd_rows(spark):
     rows = [(1, "a b c", None), (2, None, None), (3, "a " * 50, "s"), (3, "a " * 50, "s"), (None, "x", "t"), (4, "", "empty"), (None, "x", "t")]
     docs = spark.createDataFrame([(i, t, s, "clash") for i, t, s in rows], "doc_id long, text string, source string, target string")
