@@ -29,11 +29,10 @@ EXCHANGE_ROUNDS = 3
 PLAN = ["source_size", "target", "whole", "last_key", "extra_keys", "dropped_keys"]
 
 
-def sampling_key(doc_id: Column, text: Column, seed: str) -> Column:
-    """Seeded order of the documents: the same for every run and any partitioning. Rows without an id
-    are told apart by their texts."""
-    parts = [F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit("null")), F.md5(F.coalesce(text, F.lit("")))]
-    return F.md5(F.concat_ws(":", *parts))
+def sampling_key(doc_id: Column, content: Column, seed: str) -> Column:
+    """Seeded order of the documents: the same for every run and any partitioning. Rows with the same id, or
+    without one, are told apart by their ``content``."""
+    return F.md5(F.concat_ws(":", F.lit(seed), F.coalesce(doc_id.cast("string"), F.lit("null")), content))
 
 
 def in_sample(key: Column, prefix: str = "") -> Column:
@@ -42,10 +41,11 @@ def in_sample(key: Column, prefix: str = "") -> Column:
     return ((key <= last) | F.array_contains(extra, key)) & ~F.array_contains(dropped, key)
 
 
-def sized(docs: DataFrame, seed: str) -> DataFrame:
-    """``docs`` with ``__size`` (words) and ``__key`` (sampling key)."""
+def sized(docs: DataFrame, seed: str, by_text: bool = True) -> DataFrame:
+    """``docs`` with ``__size`` (words) and ``__key`` (sampling key, by the text's hash or by its size alone)."""
+    content = F.md5(F.coalesce(F.col("text"), F.lit(""))) if by_text else F.col("__size").cast("string")
     return docs.withColumn("__size", n_words(F.col("text"))).withColumn(
-        "__key", sampling_key(F.col("doc_id"), F.col("text"), seed)
+        "__key", sampling_key(F.col("doc_id"), content, seed)
     )
 
 
@@ -71,7 +71,9 @@ def water_level(sources: DataFrame, max_epochs: int) -> float:
         level = new
 
 
-def source_plan(rows: DataFrame, weights: Sequence[int], max_epochs: int) -> DataFrame:
+def source_plan(
+    rows: DataFrame, weights: Sequence[int], max_epochs: int, exchanges: int = EXCHANGE_ROUNDS
+) -> DataFrame:
     """One row per source: ``source``, and :data:`PLAN`.
 
     ``rows`` has ``source``, ``__size`` and ``__key`` of every document. A document is in the
@@ -145,7 +147,7 @@ def source_plan(rows: DataFrame, weights: Sequence[int], max_epochs: int) -> Dat
             .alias("extra_keys"),
             "dropped_keys",
         )
-    for _ in range(EXCHANGE_ROUNDS):
+    for _ in range(exchanges):
         plan = exchanged(written(plan, "mixing-plan"), counted)
     return written(plan.select("source", *PLAN), "mixing-plan")
 
@@ -213,10 +215,17 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), max_epochs: int = 3
     )
 
 
-def mixed_documents(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), max_epochs: int = 3, seed: str = "mix-1") -> DataFrame:
-    """The mix itself: every row of ``docs`` as often as the mix takes it, all its columns kept, whatever their names."""
-    sizes = written(sized(docs.select("doc_id", "source", "text"), seed).drop("text"), "mixing-sizes")
-    rows = repetitions(sized(boxed(docs, "doc_id", "source", "text"), seed), source_plan(sizes, weights, max_epochs))
+def mixed_documents(
+    docs: DataFrame, weights: Sequence[int] = (1, 2, 3), max_epochs: int = 3, seed: str = "mix-1", by_text: bool = True,
+    exchanges: int = EXCHANGE_ROUNDS,
+) -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as the mix takes it, all its columns kept, whatever their names.
+
+    Without ``by_text`` the sample goes by id and size alone, and texts are not hashed: for tables whose rows have ids.
+    """
+    sizes = written(sized(docs.select("doc_id", "source", "text"), seed, by_text).drop("text"), "mixing-sizes")
+    plan = source_plan(sizes, weights, max_epochs, exchanges)
+    rows = repetitions(sized(boxed(docs, "doc_id", "source", "text"), seed, by_text), plan)
     # The outer form, as the other lets the optimizer add a filter that counts the words once more.
     copies = F.explode_outer(F.array_repeat(F.lit(True), F.col("__times").cast("int")))
     return rows.select("row", copies.alias("__copy")).filter("__copy").select("row.*")
