@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import joins
-from ..sinks.changelog import append_changes, read_current
-from ..streaming import io, tables, transforms
+from ..sinks.changelog import append_changes, create_log, current_of, read_current
+from ..streaming import io, late, tables, transforms
 from . import joins as batch_joins
 from .aggregates import WORDS_SQL
 from .registry import query
@@ -154,13 +156,37 @@ def _within(lake: Lake, how: str) -> DataFrame:
     return batch_joins.within_result(rows)
 
 
+#: Deliveries of the events in :func:`stream_late_rows`, each with every fifth of them.
+DELIVERIES, LATE_AFTER = 5, dt.timedelta(days=10)
+
+
+@query(
+    f"""SELECT batch, event_type, count(*) FILTER (WHERE NOT coalesce(ts < top - INTERVAL {LATE_AFTER.days} DAY, false)) AS in_time,
+        count(*) FILTER (WHERE ts < top - INTERVAL {LATE_AFTER.days} DAY) AS late
+    FROM (SELECT ts, event_type, event_id % {DELIVERIES} AS batch FROM ev) LEFT JOIN (
+        SELECT g.go AS batch, max(ts) AS top FROM range({DELIVERIES}) AS g(go) JOIN ev ON event_id % {DELIVERIES} < g.go GROUP BY g.go
+    ) USING (batch) GROUP BY batch, event_type"""
+)
+def stream_late_rows(lake: Lake) -> DataFrame:
+    """Events delivered in several goes, of which all but the first bring rows that are too late."""
+    out = lake.work_dir("late")
+    events = lake.events.select("event_id", "ts", "event_type")
+    for go in range(DELIVERIES):
+        events.filter(F.col("event_id") % DELIVERIES == go).write.mode("append").parquet(f"{out}/in")
+        # A delivery is a micro-batch, however many files it has.
+        stream = io.file_records(lake.spark, f"{out}/in", events.schema, files_per_batch=1_000_000)
+        late.split_late(stream, "ts", LATE_AFTER, f"{out}/rows", f"{out}/checkpoint").awaitTermination()
+    return late.lateness(late.read_split(lake.spark, f"{out}/rows", events.schema), "batch", "event_type")
+
+
 def _lookup(lake: Lake, how: str) -> DataFrame:
-    """Stream records against a change log, read afresh for every micro-batch."""
+    """Stream records against a change log, of which every micro-batch reads the buckets of its keys afresh."""
     out = lake.work_dir("lookup")
+    create_log(lake.spark, f"{out}/table", lake.region_changes.select("key", "value", "offset").schema)
     append_changes(lake.region_changes, f"{out}/table", 0, "key", "value", "offset")
 
     def look_up(batch: DataFrame) -> DataFrame:
-        regions = read_current(batch.sparkSession, f"{out}/table", "key", "value", "offset")
+        regions = current_of(batch, f"{out}/table", "key", "value", "offset")
         joined = joins.join_stream_table(batch, regions, "key", "key", "metric", "value", how)
         return joined.select("offset", "key", "value")
 

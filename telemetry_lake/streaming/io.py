@@ -107,7 +107,7 @@ def to_table(
         append_changes(batch, path, batch_id, key, value, offset)
         fold_levels(batch.sparkSession, path, key, offset)
 
-    return _each_batch(changes, store, checkpoint, mode, once)
+    return each_batch(changes, store, checkpoint, mode, once)
 
 
 def to_count_table(counts: DataFrame, path: str, checkpoint: str, key: str, once: bool = True) -> StreamingQuery:
@@ -121,7 +121,7 @@ def to_count_table(counts: DataFrame, path: str, checkpoint: str, key: str, once
         numbered.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
         fold_levels(batch.sparkSession, path, key, "version")
 
-    return _each_batch(counts, store, checkpoint, "update", once)
+    return each_batch(counts, store, checkpoint, "update", once)
 
 
 def lookup_to_files(
@@ -136,7 +136,7 @@ def lookup_to_files(
     def store(batch: DataFrame, batch_id: int) -> None:
         look_up(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-    return _each_batch(stream, store, checkpoint, "append", once)
+    return each_batch(stream, store, checkpoint, "append", once)
 
 
 def live_lookup(spark: SparkSession, path: str, most_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -149,8 +149,9 @@ def live_lookup(spark: SparkSession, path: str, most_bytes: int = BROADCAST_BYTE
     return F.broadcast(table) if Files(spark, path).size() <= most_bytes else table
 
 
-def _each_batch(
+def each_batch(
     df: DataFrame, store: Callable[[DataFrame, int], None], checkpoint: str, mode: str, once: bool
 ) -> StreamingQuery:
+    """Hand every micro-batch and its number to ``store``, which must bear to be called again for one."""
     writer = df.writeStream.foreachBatch(store).outputMode(mode).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
