@@ -6,6 +6,7 @@ lists them. Each is also a plain function of a session and paths.
 
 from __future__ import annotations
 
+import datetime
 import inspect
 import sys
 from collections.abc import Callable, Sequence
@@ -19,7 +20,7 @@ from .schemas import snapshot_columns
 from .session import get_session, work_dir
 from .sinks import files as sinks
 from .sources import files as sources
-from .streaming import io, transforms
+from .streaming import io, topologies, transforms
 
 JOBS: dict[str, Callable[..., None]] = {}
 
@@ -179,6 +180,77 @@ def word_count(spark: SparkSession, servers: str, lines: str, counts: str, check
     query.awaitTermination()
 
 
+# Each of the following keeps its result as a table below ``out`` (read it with
+# :func:`telemetry_lake.sinks.changelog.read_current`). It runs until stopped, or with any ``once`` until it
+# has worked off what is there. ``*_type`` is the type of a topic's values: ``string`` or ``bigint``.
+
+
+@job
+def stream_filter(spark: SparkSession, servers: str, records: str, value: str, out: str, once: str = "") -> None:
+    """Records with one value."""
+    topologies.run(topologies.keep(transforms.filter_values(io.topic_records(spark, servers, records), value), out, bool(once)))
+
+
+@job
+def stream_branch(spark: SparkSession, servers: str, records: str, prefixes: str, out: str, once: str = "") -> None:
+    """A table per key prefix (comma-separated), ``out/<prefix>``."""
+    topologies.run(topologies.keep_branches(io.topic_records(spark, servers, records), prefixes.split(","), out, bool(once)))
+
+
+@job
+def stream_map(spark: SparkSession, servers: str, records: str, out: str, suffix: str = "-new", once: str = "") -> None:
+    topologies.run(topologies.keep(transforms.append_suffix(io.topic_records(spark, servers, records), suffix), out, bool(once)))
+
+
+@job
+def stream_flat_map(spark: SparkSession, servers: str, records: str, prefixes: str, out: str, once: str = "") -> None:
+    """A record per prefix (comma-separated), keyed ``prefix-value``."""
+    expanded = transforms.flat_map_prefixes(io.topic_records(spark, servers, records), prefixes.split(","))
+    topologies.run(topologies.keep(expanded, out, bool(once)))
+
+
+@job
+def stream_lower(spark: SparkSession, servers: str, records: str, out: str, once: str = "") -> None:
+    topologies.run(topologies.keep(transforms.lower_values(io.topic_records(spark, servers, records)), out, bool(once)))
+
+
+@job
+def stream_count(spark: SparkSession, servers: str, records: str, out: str, once: str = "") -> None:
+    """Records per value."""
+    topologies.run(topologies.keep_counts(io.topic_records(spark, servers, records), out, bool(once)))
+
+
+@job
+def join_tables(
+    spark: SparkSession, servers: str, left: str, right: str, how: str, out: str, left_type: str = "string",
+    right_type: str = "bigint", once: str = "",
+) -> None:
+    """Two topics as tables: ``inner``, ``left`` or ``full``."""
+    sides = (io.topic_records(spark, servers, topic, kind) for topic, kind in ((left, left_type), (right, right_type)))
+    topologies.run(topologies.join_tables(*sides, how, out, bool(once)))
+
+
+@job
+def join_streams(
+    spark: SparkSession, servers: str, left: str, right: str, how: str, out: str, left_type: str = "bigint",
+    right_type: str = "string", seconds: str = "300", delay: str = "10 minutes", once: str = "",
+) -> None:
+    """Records of equal key at most ``seconds`` apart: ``inner``, ``left`` or ``full``; ``delay`` is how late one may be."""
+    sides = (io.topic_records(spark, servers, topic, kind) for topic, kind in ((left, left_type), (right, right_type)))
+    within = datetime.timedelta(seconds=float(seconds))
+    topologies.run(topologies.join_streams(*sides, how, out, within, delay, bool(once)))
+
+
+@job
+def join_stream_with_table(
+    spark: SparkSession, servers: str, records: str, table: str, how: str, out: str, records_type: str = "bigint",
+    table_type: str = "string", replicated: str = "", once: str = "",
+) -> None:
+    """Records against a topic as table, ``inner`` or ``left``; with any ``replicated`` the table goes to all tasks while it is small."""
+    stream, changes = (io.topic_records(spark, servers, t, kind) for t, kind in ((records, records_type), (table, table_type)))
+    topologies.run(*topologies.join_stream_with_table(stream, changes, how, out, bool(replicated), bool(once)))
+
+
 def main(arguments: Sequence[str]) -> None:
     if not arguments or arguments[0] not in JOBS:
         for name, fn in JOBS.items():

@@ -74,7 +74,7 @@ def _read_runs(spark: SparkSession, runs: list[str], layout: dict | None) -> Dat
         return spark.read.parquet(*runs).drop("batch")
     schema = T.StructType.fromJson(layout["schema"]).add("bucket", T.IntegerType())
     # Runs lie at different depths, which partition discovery does not allow within one scan.
-    return reduce(DataFrame.union, [spark.read.schema(schema).parquet(run) for run in runs])
+    return reduce(DataFrame.union, [spark.read.schema(schema).parquet(run) for run in runs]).drop("batch")
 
 
 def append_changes(changes: DataFrame, path: str, batch: int, key: str, value: str, offset: str) -> None:
