@@ -143,7 +143,9 @@ def write_archives(pages: DataFrame, path: str) -> None:
     rows = rows.withColumn("revisit", revisit).withColumn("refers_to", F.when(F.col("revisit"), F.col("first")))
     records = rows.select("page_id", "url", "html", F.col("sha").alias("digest"), "refers_to", "revisit")
     frames = records.mapInArrow(_with_digest, "frame binary")
-    frames.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", SEPARATOR).text(path)
+    # A file is what a task wrote: a session's limit on records would leave the second one without its dictionary.
+    writer = frames.select(F.col("frame").cast("string").alias("value")).write.option("maxRecordsPerFile", 0)
+    writer.option("lineSep", SEPARATOR).text(path)
 
 
 def _with_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

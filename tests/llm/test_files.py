@@ -104,6 +104,17 @@ def test_odd_pages(spark, tmp_path):
     assert bytes(back[5]["payload"]) == b"P*M\x18\0\0\0\0" * 9 and bytes(back[0]["payload"]) == ("é" * 200_000).encode()
 
 
+def test_archives_stay_whole_under_a_limit_of_records(spark, tmp_path):
+    pages = spark.read.parquet(f"{SF_DIR}/pages.parquet").select("page_id", "url", "html")
+    spark.conf.set("spark.sql.files.maxRecordsPerFile", 3)
+    try:
+        warc.write_archives(pages, str(tmp_path / "archives"))
+    finally:
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    back = warc.read_archives(spark, str(tmp_path / "archives"), keep_payload=False)
+    assert back.select("page_id").distinct().count() == pages.count()
+
+
 def test_other_archives_and_damage():
     record = warc.record_bytes(7, "u", b"<p>x</p>", warc.base32_sha1(b"<p>x</p>"), None, False)
     shared = warc.dictionary([warc.record_bytes(i, f"u{i}", b"<p>%d</p>" % (i * 7919) * 30, "D", None, False) for i in range(300)])
