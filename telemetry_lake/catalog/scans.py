@@ -153,6 +153,17 @@ def snapshot_ingest(lake: Lake) -> DataFrame:
     return files.snapshot_ingest(lake.table("customer"), columns, lake.work_dir("snapshot"))
 
 
+@query(
+    """SELECT CAST(o_orderkey AS VARCHAR) AS "Id", CAST(o_custkey AS VARCHAR) AS "AccountId", o_orderstatus AS "Status",
+        o_totalprice AS "Total" FROM orders"""
+)
+def snapshot_passed_through(lake: Lake) -> DataFrame:
+    """A source table without a declared schema: every column, identifiers as text."""
+    renamed = {"o_orderkey": "Id", "o_custkey": "AccountId", "o_orderstatus": "Status", "o_totalprice": "Total"}
+    source = lake.table("orders").select(*[F.col(old).alias(new) for old, new in renamed.items()])
+    return files.snapshot_ingest(source, files.passed_through(source), lake.work_dir("snapshot"))
+
+
 @query()
 def source_last_modified(lake: Lake) -> DataFrame:
     return files.last_modified(lake.table("customer"))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from .operators.joins import without_tagged
 from .plans import checkins as checkin_plan
 from .plans import compaction, metric_history, service_desk, signal, telemetry_rollups, ticket_activity, usage as usage_plan
-from .schemas import snapshot_columns
+from .schemas import SNAPSHOTS, snapshot_columns
 from .session import get_session, work_dir
 from .sinks import files as sinks
 from .sources import files as sources
@@ -50,9 +50,12 @@ def compact_chamber(spark: SparkSession, root: str, out: str, more: str = "") ->
 
 @job
 def snapshot(spark: SparkSession, table: str, url: str, query: str, out: str) -> None:
-    """Copy a database table; ``table`` names its schema in :data:`telemetry_lake.schemas.SNAPSHOTS`."""
+    """Copy a database table; ``table`` names its schema in :data:`telemetry_lake.schemas.SNAPSHOTS`.
+
+    Other tables (accounts, devices, remotes, service plans ...) are copied with all their columns.
+    """
     source = spark.read.format("jdbc").options(url=url, dbtable=query).load()
-    sources.snapshot_ingest(source, snapshot_columns(table), out)
+    sources.snapshot_ingest(source, snapshot_columns(table) if table in SNAPSHOTS else sources.passed_through(source), out)
 
 
 # --- metric history -------------------------------------------------------------

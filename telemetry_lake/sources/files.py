@@ -93,11 +93,18 @@ def snapshot_ingest(source: DataFrame, columns: Mapping[str, str], destination:
 
     ``source`` is any reader's DataFrame (``jdbc``, files, ...). Identifier types become text.
     """
-    typed = source.select(*[F.col(name).cast(data_type).alias(name) for name, data_type in columns.items()])
+    quoted = {name: "`" + name.replace("`", "``") + "`" for name in columns}
+    typed = source.select(*[F.col(quoted[name]).cast(data_type).alias(name) for name, data_type in columns.items()])
     typed.write.mode("overwrite").parquet(destination)
     return source.sparkSession.read.parquet(destination)
 
 
+def passed_through(source: DataFrame, identifier: str = r"(^|[a-z0-9_])I[dD]$") -> dict[str, str]:
+    """Columns for :func:`snapshot_ingest` of a table without a declared schema: all of them as they are, but
+    those whose name matches ``identifier`` as text."""
+    return {name: "string" if re.search(identifier, name) else kind for name, kind in source.dtypes}
+
+
 def last_modified(
     scan: DataFrame, zone: str = "America/Los_Angeles", standard: str = "PST", daylight: str = "PDT"
 ) -> DataFrame:

@@ -11,6 +11,7 @@ from telemetry_lake import jobs
 from telemetry_lake.catalog.scans import write_coverage, write_self_tests
 from telemetry_lake.catalog.views import Lake
 from telemetry_lake.schemas import SNAPSHOTS, snapshot_columns
+from telemetry_lake.sources import files as sources
 
 
 @pytest.fixture(scope="module")
@@ -119,3 +120,15 @@ def test_command_line(capsys):
 
 def test_snapshot_schemas(spark):
     assert {name: len(snapshot_columns(name)) for name in SNAPSHOTS} == {"tickets": 18, "tags": 7, "subscriptions": 19}
+
+
+def test_snapshot_of_an_undeclared_table(spark, tmp_path):
+    rows = [(1, 2, "x", None, 1.5, 7), (None, None, None, True, None, None)]
+    source = spark.createDataFrame(rows, "`Id` long, `RemoteID` int, `Name` string, `Paid` boolean, `a.b``c` double, `Grid` int")
+    columns = sources.passed_through(source)
+    assert columns == {"Id": "string", "RemoteID": "string", "Name": "string", "Paid": "boolean", "a.b`c": "double", "Grid": "int"}
+    copy = sources.snapshot_ingest(source, columns, str(tmp_path / "copy"))
+    assert dict(copy.dtypes) == columns
+    assert sorted(map(tuple, copy.collect()), key=str) == sorted([("1", "2", "x", None, 1.5, 7), (None, None, None, True, None, None)], key=str)
+    empty = sources.snapshot_ingest(source.limit(0), columns, str(tmp_path / "empty"))
+    assert empty.count() == 0 and dict(empty.dtypes) == columns
