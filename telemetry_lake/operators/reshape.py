@@ -13,9 +13,13 @@ def melt(
     df: DataFrame, id_vars: Sequence[str], value_vars: Sequence[str], var_name: str = "variable",
     value_name: str = "value",
 ) -> DataFrame:
-    """Wide to long: one row per input row and value column. Values share one type."""
-    quoted = [f"`{c}`" for c in value_vars]
-    return df.unpivot([f"`{c}`" for c in id_vars], quoted, var_name, value_name)
+    """Wide to long: one row per input row and value column. Values share one type.
+
+    The rows stay in their partitions, and Spark knows it (of ``unpivot`` it does not): what was dealt by
+    ``id_vars`` needs no shuffle to be grouped by them.
+    """
+    pairs = [F.struct(F.lit(c).alias("variable"), F.col(f"`{c}`").alias("value")) for c in value_vars]
+    return df.select(*[f"`{c}`" for c in id_vars], F.inline(F.array(*pairs)).alias(var_name, value_name))
 
 
 def rename_columns(df: DataFrame, names: Mapping[str, str]) -> DataFrame:

@@ -41,19 +41,28 @@ def statistics(value: Column) -> list[Column]:
     ]
 
 
-def roll_up(df: DataFrame, keys: Sequence[str], ts: str, period: str, measures: Sequence[Column]) -> DataFrame:
-    """First and last time, record count and ``measures`` per key and calendar period."""
+def roll_up(
+    df: DataFrame, keys: Sequence[str], ts: str, period: str, measures: Sequence[Column], calendar: Sequence[str] = ()
+) -> DataFrame:
+    """First and last time, record count and ``measures`` per key and calendar period.
+
+    ``calendar`` names those of ``year`` and ``month`` that stay. A day is grouped with its month, so that rows
+    dealt by key and month are not shuffled again; not so in zones where a month cuts the UTC day.
+    """
     time = F.col(ts)
-    grouped = df.groupBy(*keys, *period_columns(time, period)).agg(
+    parts = period_columns(time, period)
+    if period == "date" or period == "day" and df.sparkSession.conf.get("spark.sql.session.timeZone") == "UTC":
+        parts = [*period_columns(time, "month"), *parts]
+    grouped = df.groupBy(*keys, *parts).agg(
         F.min(time).alias("start"), F.max(time).alias("end"), F.count(time).alias("records"), *measures
     )
-    return grouped.drop("year", "month", "window", "date")
+    return grouped.drop(*{"year", "month", "window", "date"} - {*calendar})
 
 
 def with_calendar(df: DataFrame, *parts: str) -> DataFrame:
-    """Add ``year`` and/or ``month`` of the period start."""
+    """Add ``year`` and/or ``month`` of the period start, unless they are there."""
     known = {"year": F.year("start"), "month": F.month("start")}
-    return df.select("*", *[known[part].alias(part) for part in parts])
+    return df.select("*", *[known[part].alias(part) for part in parts if part not in df.columns])
 
 
 def nest(

@@ -2,39 +2,42 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, functions as F
 
 from ..operators.reshape import melt, rename_columns
-from ..operators.rollups import nest, pooled_deviation, roll_up, statistics
+from ..operators.rollups import nest, period_columns, pooled_deviation, roll_up, statistics
 from ..schemas import METRIC_CODES
 
 KEYS = ["ASMSerial", "ASMMetric"]
+#: Values of a task after the melt, and the most tasks asked for.
+TASK_VALUES, MOST_TASKS = 500_000, 20_000
 ITEM = ["start", "end", "records", "avg", "max", "min", "stddev"]
 
 
 def long_records(device_metrics: DataFrame, prefix: str = "AAE") -> DataFrame:
     """Distinct ``(ASMSerial, timestamp, ASMMetric, data)`` of the dictionary's metrics.
 
-    Copies are removed while the rows are still wide, one row instead of one per metric. Only where
-    a device reports several different rows for one second can a value still repeat; those few
-    rows are compared per metric. Every granularity builds on the result: materialise it once
-    when several are wanted.
+    Copies are removed while the rows are still wide, one row instead of one per metric. Then the rows of
+    a device and month (of the session's time zone) are dealt to one partition of about
+    :data:`TASK_VALUES` values; the rows are counted for that. What is grouped below a month, such as the
+    values a device reports twice for one second, needs no shuffle any more. Every granularity builds on
+    the result: materialise it once when several are wanted.
     """
-    moment = ["ASMSerial", "timestamp-S"]
+    moment = ["ASMSerial", "timestamp"]
     present = {column: code for column, code in METRIC_CODES.items() if column in device_metrics.columns}
     wanted = device_metrics.filter(F.col("ASMSerial").startswith(prefix) & F.col("timestamp-S").isNotNull())
     # Columns take their codes before they become values, so no row needs a lookup.
-    readings = rename_columns(wanted.select(*moment, *[f"`{c}`" for c in present]), present).distinct()
-    counted = readings.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy(*moment)))
-
-    def long(rows: DataFrame) -> DataFrame:
-        melted = melt(rows, moment, list(present.values()), "ASMMetric", "data")
-        return melted.select(
-            "ASMSerial", F.timestamp_seconds("timestamp-S").alias("timestamp"), "ASMMetric", "data"
-        ).dropna()
-
-    single, several = counted.filter(F.col("__n") == 1), counted.filter(F.col("__n") > 1)
-    return long(single).unionByName(long(several).distinct())
+    time = F.timestamp_seconds("timestamp-S").alias("timestamp")
+    readings = rename_columns(wanted.select("ASMSerial", time, *[f"`{c}`" for c in present]), present).distinct()
+    tasks = -(-device_metrics.count() * max(len(present), 1) // TASK_VALUES)
+    tasks = min(max(tasks, device_metrics.sparkSession.sparkContext.defaultParallelism), MOST_TASKS)
+    month = period_columns(F.col("timestamp"), "month")
+    placed = readings.repartition(tasks, "ASMSerial", *month)
+    melted = melt(placed, moment, list(present.values()), "ASMMetric", "data").dropna()
+    # The months are named wherever rows are grouped, as the rows are dealt by them.
+    return melted.select("*", *month).distinct().select(*moment, "ASMMetric", "data")
 
 
 def intervals(records: DataFrame, period: str) -> DataFrame:
@@ -43,17 +46,16 @@ def intervals(records: DataFrame, period: str) -> DataFrame:
     return rolled.select(*KEYS, F.lit(period).alias("duration"), *ITEM)
 
 
-def _with_total(records: DataFrame, period: str) -> DataFrame:
-    """Statistics with the sum, from which longer periods can be built."""
-    return roll_up(
-        records, KEYS, "timestamp", period, [*statistics(F.col("data")), F.sum("data").alias("total")]
-    )
+def _with_total(records: DataFrame, period: str, calendar: Sequence[str] = ()) -> DataFrame:
+    """Statistics with the sum, from which longer periods can be built, and the ``calendar`` columns of these."""
+    measures = [*statistics(F.col("data")), F.sum("data").alias("total")]
+    return roll_up(records, KEYS, "timestamp", period, measures, calendar)
 
 
 def _nested(records: DataFrame, period: str, part: str, calendar: list[str]) -> DataFrame:
     """Periods with the ordered list of their parts. The records are aggregated once, to parts."""
     measures = [F.sum("total").alias("total"), F.max("max").alias("max"), F.min("min").alias("min")]
-    summed = nest(_with_total(records, part), KEYS, calendar, ITEM, measures)
+    summed = nest(_with_total(records, part, calendar), KEYS, calendar, ITEM, measures)
     averaged = summed.withColumn("avg", F.col("total") / F.col("records"))
     deviation = pooled_deviation(F.col("breakdown"), F.col("avg"), F.col("records"))
     return averaged.withColumn("stddev", deviation).select(

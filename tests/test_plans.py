@@ -237,6 +237,24 @@ def test_long_records_are_distinct_per_metric(spark):
     ]
 
 
+def test_rollups_shuffle_no_values(spark, monkeypatch):
+    """Values meet where the wide rows of a device and month were dealt, in as many tasks as they are many."""
+    monkeypatch.setattr(telemetry_rollups, "TASK_VALUES", 10)
+    rows = [("AAE1", s * 43200, float(s), float(s % 5)) for s in range(100)]
+    wide = spark.createDataFrame(rows, "ASMSerial string, `timestamp-S` bigint, altitude double, speed double")
+    records = telemetry_rollups.long_records(wide)
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    for df in (telemetry_rollups.intervals(records, p) for p in ("day", "date", "month")):
+        assert plan(df).count("Exchange") == 2 and "hashpartitioning(ASMSerial" in plan(df)
+    assert plan(telemetry_rollups.monthly_breakdown(records)).count("Exchange") == 2
+    assert "20), REPARTITION_BY_NUM" in plan(records)
+    days = telemetry_rollups.intervals(records, "day").filter("ASMMetric = 'ASM-ALTITUDE'").collect()
+    assert len(days) == 50 and all(d["records"] == 2 for d in days)
+
+
 def test_daily_usage_adds_up(spark):
     rows = [(1, h * 3600, float(h)) for h in range(24 * 70)]
     records = spark.createDataFrame(rows, "ModemSerial bigint, s bigint, Data double").withColumn("timestamp", F.timestamp_seconds("s"))
