@@ -58,8 +58,9 @@ def nested_tree_write(lake: Lake) -> DataFrame:
     """Yearly and monthly breakdowns written as partitioned JSON trees."""
     root = lake.work_dir("tree")
     records = files.materialize(telemetry_rollups.long_records(lake.device_metrics), f"{root}/records")
-    years, months = telemetry_rollups.yearly_breakdown(records), telemetry_rollups.monthly_breakdown(records)
-    year_path, month_path = files.write_nested_periods(years, months, f"{root}/report", ["ASMMetric"])
+    years = telemetry_rollups.yearly_breakdown(records)
+    months = telemetry_rollups.monthly_breakdown(telemetry_rollups.dealt(records))
+    year_path, month_path = files.write_nested_periods(years, months, f"{root}/report", ["ASMMetric"], "gzip")
     year_rows = lake.spark.read.schema(years.schema).json(year_path)
     month_rows = lake.spark.read.schema(months.drop("duration").schema).json(month_path)
 

@@ -95,7 +95,8 @@ def metric_rollups(spark: SparkSession, metrics: str, out: str) -> None:
     records = sinks.materialize(
         telemetry_rollups.long_records(spark.read.parquet(metrics)), work_dir(spark, "records")
     )
-    years, months = telemetry_rollups.yearly_breakdown(records), telemetry_rollups.monthly_breakdown(records)
+    years = telemetry_rollups.yearly_breakdown(records)
+    months = telemetry_rollups.monthly_breakdown(telemetry_rollups.dealt(records))
     sinks.write_nested_periods(years, months, out, telemetry_rollups.KEYS)
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..operators.reshape import melt, rename_columns
 from ..operators.rollups import nest, period_columns, pooled_deviation, roll_up, statistics
@@ -16,6 +16,23 @@ TASK_VALUES, MOST_TASKS = 500_000, 20_000
 ITEM = ["start", "end", "records", "avg", "max", "min", "stddev"]
 
 
+def _month() -> list[Column]:
+    return period_columns(F.col("timestamp"), "month")
+
+
+def _dealt(rows: DataFrame, values: int) -> DataFrame:
+    tasks = max(-(-values // TASK_VALUES), rows.sparkSession.sparkContext.defaultParallelism)
+    return rows.repartition(min(tasks, MOST_TASKS), "ASMSerial", *_month())
+
+
+def dealt(records: DataFrame) -> DataFrame:
+    """Stored :func:`long_records` in the partitions they had, of which Spark does not know after reading them.
+
+    Worth the shuffle where the records are rolled up by day, hardly by month or year.
+    """
+    return _dealt(records, records.count())
+
+
 def long_records(device_metrics: DataFrame, prefix: str = "AAE") -> DataFrame:
     """Distinct ``(ASMSerial, timestamp, ASMMetric, data)`` of the dictionary's metrics.
 
@@ -31,13 +48,10 @@ def long_records(device_metrics: DataFrame, prefix: str = "AAE") -> DataFrame:
     # Columns take their codes before they become values, so no row needs a lookup.
     time = F.timestamp_seconds("timestamp-S").alias("timestamp")
     readings = rename_columns(wanted.select("ASMSerial", time, *[f"`{c}`" for c in present]), present).distinct()
-    tasks = -(-device_metrics.count() * max(len(present), 1) // TASK_VALUES)
-    tasks = min(max(tasks, device_metrics.sparkSession.sparkContext.defaultParallelism), MOST_TASKS)
-    month = period_columns(F.col("timestamp"), "month")
-    placed = readings.repartition(tasks, "ASMSerial", *month)
+    placed = _dealt(readings, device_metrics.count() * max(len(present), 1))
     melted = melt(placed, moment, list(present.values()), "ASMMetric", "data").dropna()
     # The months are named wherever rows are grouped, as the rows are dealt by them.
-    return melted.select("*", *month).distinct().select(*moment, "ASMMetric", "data")
+    return melted.select("*", *_month()).distinct().select(*moment, "ASMMetric", "data")
 
 
 def intervals(records: DataFrame, period: str) -> DataFrame:

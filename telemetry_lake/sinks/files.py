@@ -34,20 +34,26 @@ def write_report(df: DataFrame, path: str, single_file: bool = False) -> None:
     (df.coalesce(1) if single_file else df).write.mode("overwrite").json(path)
 
 
-def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite", order: Sequence[str] = ()) -> None:
+def write_partitioned(
+    df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite", order: Sequence[str] = (), compression: str = "none"
+) -> None:
     """JSON in ``by=value`` folders. Rows of a folder meet first, so it gets few files; a folder
     with very many rows is split by adaptive execution instead of filling one task. Each file is
     sorted by ``order``."""
     met = df.hint("rebalance", *by)
-    (met.sortWithinPartitions(*by, *order) if order else met).write.mode(mode).partitionBy(*by).json(path)
+    sorted_ = met.sortWithinPartitions(*by, *order) if order else met
+    sorted_.write.mode(mode).partitionBy(*by).json(path, compression=compression)
 
 
-def write_nested_periods(yearly: DataFrame, monthly: DataFrame, root: str, keys: Sequence[str]) -> tuple[str, str]:
+def write_nested_periods(
+    yearly: DataFrame, monthly: DataFrame, root: str, keys: Sequence[str], compression: str = "none"
+) -> tuple[str, str]:
     """Yearly and monthly breakdowns in sibling trees (one tree of mixed depth would defeat
-    partition discovery). Returns both paths; the monthly one drops ``duration``."""
+    partition discovery). Returns both paths; the monthly one drops ``duration``. The lists repeat
+    their field names in each item: ``compression="gzip"`` makes the trees many times smaller."""
     yearly_path, monthly_path = f"{root}/yearly", f"{root}/monthly"
-    write_partitioned(yearly, yearly_path, [*keys, "year"])
-    write_partitioned(monthly.drop("duration"), monthly_path, [*keys, "year", "month"])
+    write_partitioned(yearly, yearly_path, [*keys, "year"], compression=compression)
+    write_partitioned(monthly.drop("duration"), monthly_path, [*keys, "year", "month"], compression=compression)
     return yearly_path, monthly_path
 
 

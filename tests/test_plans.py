@@ -255,6 +255,24 @@ def test_rollups_shuffle_no_values(spark, monkeypatch):
     assert len(days) == 50 and all(d["records"] == 2 for d in days)
 
 
+def test_nested_trees_are_small(spark, tmp_path):
+    """Stored records are shuffled once for months and their days, and the trees take a fraction of their text."""
+    rows = [("AAE1", s * 43200, float(s), float(s % 5)) for s in range(400)]
+    wide = spark.createDataFrame(rows, "ASMSerial string, `timestamp-S` bigint, altitude double, speed double")
+    records = files.materialize(telemetry_rollups.long_records(wide), str(tmp_path / "records"))
+    years = telemetry_rollups.yearly_breakdown(records)
+    months = telemetry_rollups.monthly_breakdown(telemetry_rollups.dealt(records))
+    assert months._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    sizes = {}
+    for kind in ("none", "gzip"):
+        _, path = files.write_nested_periods(years, months, str(tmp_path / kind), ["ASMMetric"], kind)
+        written = [p for p in (tmp_path / kind / "monthly").rglob("part-*")]
+        sizes[kind] = sum(p.stat().st_size for p in written)
+        read = spark.read.schema(months.drop("duration").schema).json(path)
+        assert read.count() == months.count() and read.exceptAll(months.select(read.columns)).isEmpty()
+    assert sizes["gzip"] < sizes["none"] / 4
+
+
 def test_daily_usage_adds_up(spark):
     rows = [(1, h * 3600, float(h)) for h in range(24 * 70)]
     records = spark.createDataFrame(rows, "ModemSerial bigint, s bigint, Data double").withColumn("timestamp", F.timestamp_seconds("s"))
