@@ -34,7 +34,16 @@ def powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(out, dtype=np.uint64)
 
 
-_UP, _DOWN = powers(_STEP, BLOCK + 1), powers(_BACK, BLOCK + 1)
+_kept: dict[int, np.ndarray] = {}
+
+
+def _steps(base: int, n: int) -> np.ndarray:
+    """``powers(base, n)``, kept for the next block: a process holds no more of them than its blocks ask for."""
+    if n > BLOCK + 1:
+        return powers(base, n)
+    if len(_kept.get(base, ())) < n:
+        _kept[base] = powers(base, min(2 * n, BLOCK + 1))
+    return _kept[base][:n]
 
 
 class Words:
@@ -66,21 +75,24 @@ class Words:
         if not len(self):
             return np.zeros(0, np.uint64)
         n = len(self.data)
-        up, down = (_UP, _DOWN) if n < len(_UP) else (powers(_STEP, n + 1), powers(_BACK, n + 1))
         sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE[self.data] * up[:n], dtype=np.uint64, out=sums[1:])
-        h = (sums[self.ends] - sums[self.starts]) * down[self.starts]
+        shifted = _BYTE[self.data]
+        shifted *= _steps(_STEP, n)
+        np.cumsum(shifted, dtype=np.uint64, out=sums[1:])
+        h = (sums[self.ends] - sums[self.starts]) * _steps(_BACK, n + 1)[self.starts]
         return mix64(h + mix64((self.ends - self.starts).astype(np.uint64)))
 
 
-def text_blocks(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Pieces of batches of about :data:`BLOCK` bytes of text (one text at least), with the texts' bytes."""
+def text_blocks(
+    batches: Iterator[pa.RecordBatch], column: str = "text", block: int = BLOCK
+) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Pieces of batches of about ``block`` bytes of text (one text at least), with the texts' bytes."""
     for batch in batches:
         texts = batch.column(column).cast(pa.binary())
         sizes = np.array([0 if v is None else v for v in pa.compute.binary_length(texts).to_pylist()], np.int64)
         at = 0
         while at < batch.num_rows:
-            n = max(1, int(np.searchsorted(np.cumsum(sizes[at:]), BLOCK, side="right")))
+            n = max(1, int(np.searchsorted(np.cumsum(sizes[at:]), block, side="right")))
             piece = batch.slice(at, n)
             yield piece, [b"" if v is None else v for v in texts.slice(at, n).to_pylist()]
             at += n

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .arrays import BLOCK, Words, mix64, text_blocks
+from .arrays import Words, mix64, text_blocks
 from .store import written
 
 #: Similarity of a link, per cent.
@@ -38,6 +38,8 @@ BATCH = 32
 MISS = 1e-6
 #: Members of a bucket, and shingles of them, that make a slice.
 SLICE_ROWS, SLICE_SHINGLES = 2048, 1 << 20
+#: Bytes of text handled at once: a worker needs about 30 bytes for each, beside the JVM of its executor.
+BLOCK = 1 << 17
 #: Survivors confirmed at once, the most alike first.
 CONFIRMED = 32
 
@@ -71,9 +73,10 @@ def shingle_sets(texts: list[bytes], width: int = WIDTH) -> list[np.ndarray]:
 
 def signature(shingles: np.ndarray) -> np.ndarray:
     low = np.full(HASHES, 0xFFFFFFFF, np.uint32)
-    for at in range(0, len(shingles), 4096):
-        hashed = ((shingles[at : at + 4096, None] * _TIMES + _PLUS) >> np.uint64(32)).astype(np.uint32)
-        np.minimum(low, hashed.min(axis=0), out=low)
+    for at in range(0, len(shingles), 512):
+        hashed = shingles[at : at + 512, None] * _TIMES
+        hashed += _PLUS
+        np.minimum(low, (hashed.min(axis=0) >> np.uint64(32)).astype(np.uint32), out=low)
     return low
 
 
@@ -83,7 +86,7 @@ def digest_of(shingles: np.ndarray) -> bytes:
 
 def _sign(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece, texts in text_blocks(batches):
+        for piece, texts in text_blocks(batches, block=BLOCK):
             sets = shingle_sets(texts, width)
             full = [len(s) > 0 for s in sets]
             yield pa.RecordBatch.from_arrays(
@@ -148,7 +151,7 @@ def _prune(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _verify(width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for piece, first in text_blocks(iter([batch]), "ta"):
+            for piece, first in text_blocks(iter([batch]), "ta", BLOCK):
                 second = [b"" if t is None else t for t in piece.column("tb").cast(pa.binary()).to_pylist()]
                 kept = []
                 for k, (x, y) in enumerate(zip(shingle_sets(first, width), shingle_sets(second, width))):

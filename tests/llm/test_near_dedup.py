@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import re
+import tracemalloc
+
+import pyarrow as pa
 
 import corpus_pipeline
 from telemetry_lake.llm import near_dedup
@@ -96,3 +99,18 @@ def test_pipeline_stage_takes_five_words(spark):
     assert left(near_dedup.representatives(docs, 2)) == sorted(str(i) for i in (1, 4, 6, 7, 8, 9, None))
     sets = near_dedup.shingle_sets([words_.encode() for _, words_ in rows[:2]], 5)
     assert [len(s) for s in sets] == [196, 196] and len(set(sets[0].tolist()) & set(sets[1].tolist())) == 156
+
+
+def test_signing_holds_little_beside_the_texts():
+    """A worker's own arrays stay small however many texts a batch has."""
+    texts = [" ".join(f"w{(i * 7919 + k * k) % 50000}" for k in range(400)) for i in range(2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2000), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    want = [near_dedup.digest_of(s) for s in near_dedup.shingle_sets([t.encode() for t in texts[:20]])]
+    tracemalloc.start()
+    digests, peak = [], 0
+    for out in near_dedup._sign(2)(iter([batch])):
+        digests += out.column("digest").to_pylist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(digests) == 2000 and digests[:20] == want
+    assert peak < 32 << 20
