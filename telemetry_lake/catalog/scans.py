@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..operators.joins import current_table
 from ..plans import compaction
+from ..sinks.files import write_folders
 from ..sources import files
 from ..streaming.io import file_records, to_files
 from .registry import query
@@ -124,8 +125,8 @@ def scan_geojson(lake: Lake) -> DataFrame:
 def path_serial_column(lake: Lake) -> DataFrame:
     """Device metrics below ``<root>/<serial>/``, the serial taken from the path."""
     root = lake.work_dir("devices")
-    metrics = lake.device_metrics.select(F.col("ASMSerial").alias("serial"), "timestamp-S", "altitude")
-    metrics.hint("rebalance", "serial").write.partitionBy("serial").json(root)
+    record = F.to_json(F.struct("timestamp-S", "altitude")).alias("record")
+    write_folders(lake.device_metrics.select(F.col("ASMSerial").alias("serial"), record), root, "serial", "record")
     rows = files.read_json(lake.spark, root, "`timestamp-S` bigint, altitude double")
     return files.with_path_serial(rows, root)
 
@@ -207,7 +208,7 @@ def write_self_tests(lake: Lake, root: str) -> None:
         F.concat(F.lit("AAE"), F.col("l_suppkey").cast("string")).alias("serial"), document.alias("d"), "s_acctbal"
     )
     cut = F.when(F.col("s_acctbal") < 0, F.substring("d", 1, 40)).otherwise(F.col("d"))
-    documents.select("serial", cut.alias("value")).write.partitionBy("serial").text(root)
+    write_folders(documents.select("serial", cut.alias("value")), root, "serial", "value")
 
 
 @query(

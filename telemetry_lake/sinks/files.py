@@ -2,17 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import itertools
+import os
+import re
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..session import work_dir
+from .commits import Files
 
 #: Items of a line of a JSON array, and equal rows handled as one.
 LINE_ITEMS, BLOCK = 10_000, 1_000
 #: The folder of rows without a value.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+#: What Spark writes as ``%XX`` in the name of a folder.
+ESCAPED = r"""[\x01-\x1f\x7f"#%'*/:=?\\{\[\]^]"""
 
 
 def compact_parquet(df: DataFrame, path: str, files: int | None = None) -> None:
@@ -45,6 +54,56 @@ def write_partitioned(
     sorted_.write.mode(mode).partitionBy(*by).json(path, compression=compression)
 
 
+def write_folders(rows: DataFrame, path: str, column: str, line: str) -> None:
+    """Text below a new folder ``path``: each ``line`` in the folder ``column=value`` of its row, as ``partitionBy`` names it.
+
+    For trees of very many small folders. Without its native library Hadoop starts a process to set the mode of each
+    folder, file and checksum file on a local disk, which takes far longer than the rows; so on local paths the tasks write
+    the files themselves. A file is hidden until it is whole and named after its partition, so a repeated task replaces its
+    own files only. On other file systems Spark writes.
+    """
+    top = Files(rows.sparkSession, path)
+    met = rows.select(column, line).hint("rebalance", column)
+    if top.fs.getUri().getScheme() != "file":
+        met.write.partitionBy(column).text(path)
+        return
+    if top.exists():
+        raise FileExistsError(path)
+    top.make()
+    value = F.coalesce(F.nullif(F.col(column).cast("string"), F.lit("")), F.lit(NO_VALUE))
+    named = met.select(value.alias("value"), F.concat(F.coalesce(line, F.lit("")), F.lit("\n")).alias("line"))
+    write = _folder_files(f"{top.path('').toUri().getPath()}/{column}=")
+    named.sortWithinPartitions("value").mapInArrow(write, "files bigint").write.format("noop").mode("overwrite").save()
+
+
+def _folder_files(start: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Write rows ``(value, line)``, sorted by value, to a file per value; returns the number of files."""
+    special = ESCAPED
+
+    def pieces(batches):
+        for batch in batches:
+            values, lines, begin = pc.run_end_encode(batch.column(0)), batch.column(1).cast(pa.binary()), 0
+            for value, end in zip(values.values.to_pylist(), values.run_ends.to_pylist()):
+                yield value, lines.slice(begin, end - begin)
+                begin = end
+
+    def write(batches):
+        task, files = TaskContext.get(), 0
+        name = f"part-{task.partitionId():05d}.txt"
+        for value, parts in itertools.groupby(pieces(batches), lambda piece: piece[0]):
+            folder = start + re.sub(special, lambda c: f"%{ord(c[0]):02X}", value)
+            os.makedirs(folder, exist_ok=True)
+            hidden = f"{folder}/.{name}.{task.taskAttemptId()}"
+            with open(hidden, "wb") as out:
+                for _, lines in parts:
+                    out.writelines(lines.to_pylist())
+            os.replace(hidden, f"{folder}/{name}")
+            files += 1
+        yield pa.RecordBatch.from_pydict({"files": pa.array([files], pa.int64())})
+
+    return write
+
+
 def write_nested_periods(
     yearly: DataFrame, monthly: DataFrame, root: str, keys: Sequence[str], compression: str = "none"
 ) -> tuple[str, str]:
