@@ -26,12 +26,13 @@ def compact_metrics(lake: Lake) -> DataFrame:
     root = lake.work_dir("raw-metrics")
     wide = lake.device_metrics
     reading = F.when(F.col("altitude") < 45, F.col("altitude").cast("string")).otherwise("n/a")
-    raw = wide.select(
-        F.col("ASMSerial").alias("serial"), "timestamp-S", reading.alias("+1.1V_D (V)"),
+    record = F.struct(
+        "timestamp-S", reading.alias("+1.1V_D (V)"),
         F.col("direction").cast("string").alias("Temperature (C)"), F.col("latitude").alias("altitude"),
         F.col("altitude").cast("bigint").alias("gps_fix"), (F.col("altitude") > 25).alias("rx-lock"),
     )
-    raw.hint("rebalance", "serial").write.partitionBy("serial").json(root)
+    raw = wide.select(F.col("ASMSerial").alias("serial"), F.to_json(record).alias("record"))
+    files.write_folders(raw, root, "serial", "record")
     table = compaction.compact(compaction.device_metrics_table(lake.spark, root), lake.work_dir("metrics"), files=4)
     return table.select(
         "ASMSerial", F.col("timestamp-S").alias("second"), "+1_1V_D", "Temperature__C", "altitude", "gps_fix", "rx-lock"
