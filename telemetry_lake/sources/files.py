@@ -10,6 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ..functions.times import long_form
 from ..schemas import GEOJSON
 
+#: Most tasks that list the folders of a tree, per core; Spark's own bound is 10,000, one per folder up to then.
+LISTING_TASKS = 8
+_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+
 
 def read_parquet(spark: SparkSession, *paths: str) -> DataFrame:
     return spark.read.parquet(*paths)
@@ -30,7 +34,13 @@ def read_json(
     is not declared. ``mode`` decides on bad records (``PERMISSIVE`` nulls, ``DROPMALFORMED``).
     """
     reader = spark.read.option("mode", mode).option("multiLine", multiline).option("recursiveFileLookup", True)
-    return (reader.schema(schema) if schema is not None else reader).json(path)
+    most = spark.conf.get(_LISTING)
+    # The tree is listed here, once. Listing a folder takes less time than starting a task.
+    spark.conf.set(_LISTING, str(min(int(most), LISTING_TASKS * spark.sparkContext.defaultParallelism)))
+    try:
+        return (reader.schema(schema) if schema is not None else reader).json(path)
+    finally:
+        spark.conf.set(_LISTING, most)
 
 
 def read_csv_header(spark: SparkSession, path: str) -> DataFrame:

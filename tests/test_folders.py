@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from telemetry_lake.catalog.scans import path_serial_column
 from telemetry_lake.catalog.views import Lake
 from telemetry_lake.sinks.files import write_folders
+from telemetry_lake.sources.files import LISTING_TASKS, read_json
 
 ODD = ["AAE1", "dev 1", "a/b:c", "50%", "x=y", "q?*", "[]{}^'\\\"#", "tab\there", "é+ü", "", None]
 
@@ -70,3 +71,22 @@ def test_device_files_have_no_checksum_files(spark, tmp_path):
     assert rows.filter("ASMSerial = '__HIVE_DEFAULT_PARTITION__'").select("altitude").first()["altitude"] == 3
     files = [Path(f.removeprefix("file://")) for f in rows.inputFiles()]
     assert files and not [f for file in files for f in file.parent.glob(".*")]
+
+
+def test_a_tree_is_listed_in_few_tasks(spark, tmp_path):
+    """Not in one task per folder; the session's setting stays."""
+    most = 2 * LISTING_TASKS * spark.sparkContext.defaultParallelism
+    for n in range(most):
+        (tmp_path / f"d{n}").mkdir()
+        (tmp_path / f"d{n}" / "a.json").write_text('{"x": 1}\n')
+    key = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(key)
+    spark.sparkContext.setJobGroup("listing", "listing")
+    try:
+        rows = read_json(spark, str(tmp_path), "x int")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    assert [s.numTasks for s in stages] == [most // 2]
+    assert rows.count() == most and spark.conf.get(key) == before
