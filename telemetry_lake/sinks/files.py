@@ -20,6 +20,9 @@ from .commits import Files
 LINE_ITEMS, BLOCK = 10_000, 1_000
 #: The folder of rows without a value.
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+#: Fewest partitions that rows are dealt to by folder. Adaptive execution merges small ones, but splits those above its
+#: advisory size, and then all of their folders get a file from each part.
+FOLDER_PARTITIONS = 2_000
 #: What Spark writes as ``%XX`` in the name of a folder.
 ESCAPED = r"""[\x01-\x1f\x7f"#%'*/:=?\\{\[\]^]"""
 
@@ -63,7 +66,8 @@ def write_folders(rows: DataFrame, path: str, column: str, line: str) -> None:
     own files only. On other file systems Spark writes.
     """
     top = Files(rows.sparkSession, path)
-    met = rows.select(column, line).hint("rebalance", column)
+    partitions = max(FOLDER_PARTITIONS, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    met = rows.select(column, line).hint("rebalance", partitions, column)
     if top.fs.getUri().getScheme() != "file":
         met.write.partitionBy(column).text(path)
         return

@@ -43,6 +43,24 @@ def test_folders_are_those_of_partition_by(spark, tmp_path):
         write_folders(rows, str(tmp_path / "ours"), "serial", "line")
 
 
+def test_small_folders_stay_in_one_file(spark, tmp_path):
+    """Though their partition would be split, as it holds more than the advisory size; a large folder is split."""
+    rows = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise((F.col("id") % 500).cast("string")).alias("serial"),
+        F.sha2(F.col("id").cast("string"), 256).alias("line"),
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "256k")
+    try:
+        write_folders(rows, str(tmp_path / "tree"), "serial", "line")
+    finally:
+        spark.conf.unset(key)
+    files = {folder.name: len(list(folder.iterdir())) for folder in (tmp_path / "tree").iterdir()}
+    assert files.pop("serial=hot") > 1
+    assert len(files) == 500 and sum(files.values()) < 520
+    assert sum(map(len, tree(tmp_path / "tree").values())) == 60_000
+
+
 def test_folders_without_rows_and_below_a_uri(spark, tmp_path):
     rows = spark.createDataFrame([("a", "{}")], "serial string, line string")
     write_folders(rows.filter("false"), f"file://{tmp_path}/none", "serial", "line")
