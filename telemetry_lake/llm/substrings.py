@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .arrays import BLOCK, Words, mix64, powers, text_blocks
+from .arrays import Words, mix64, powers, text_blocks
 from .store import written
 
 #: Words of a window.
@@ -31,6 +31,8 @@ WINDOW = 20
 ROUNDS = 2
 #: Bytes of text whose windows one task compares at once.
 LOCAL_BYTES = 12 << 20
+#: Bytes of text whose words are named at once: a worker needs about 70 bytes for each, beside the JVM of its executor.
+BLOCK = 1 << 18
 FAR = 1 << 40
 NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
 _P, _Q = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
@@ -39,8 +41,11 @@ _POWERS: dict[int, np.ndarray] = {}
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    if base not in _POWERS or len(_POWERS[base]) < n:
-        _POWERS[base] = powers(base, max(n, BLOCK // 4))
+    """``powers(base, n)``, kept for the next block unless a text is longer than one."""
+    if n > BLOCK:
+        return powers(base, n)
+    if base not in _POWERS:
+        _POWERS[base] = powers(base, BLOCK)
     return _POWERS[base][:n]
 
 
@@ -146,14 +151,28 @@ class Windows:
             np.minimum(wide[k - 1][half:], wide[k][:-half], out=wide[k - 1][half:])
 
 
-def _ranges(doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Sorted starts as ranges of consecutive ones: document, first, last."""
-    if not len(doc):
-        return doc, start, start
-    new = np.ones(len(doc), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (start[1:] != start[:-1] + 1)
-    at = np.flatnonzero(new)
-    return doc[at], start[at], start[np.append(at[1:], len(doc)) - 1]
+def _later(w1: np.ndarray, w2: np.ndarray) -> np.ndarray:
+    """Which windows have an equal one before them. They are sorted in eight parts by their hashes."""
+    later = np.zeros(len(w1), bool)
+    part = (w1 >> np.uint64(61)).astype(np.uint8)
+    for k in range(8):
+        at = np.flatnonzero(part == k)
+        at = at[np.argsort(w1[at], kind="stable")]
+        x, y = w1[at], w2[at]
+        later[at[1:][(x[1:] == x[:-1]) & (y[1:] == y[:-1])]] = True
+    return later
+
+
+def _ranges(chosen: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Chosen windows as ranges of consecutive ones: text, first, last. ``firsts`` has each text's first window."""
+    new = np.zeros(len(chosen) + 1, bool)
+    new[firsts] = True
+    begins, ends = chosen.copy(), chosen.copy()
+    begins[1:] &= ~chosen[:-1] | new[1:-1]
+    ends[:-1] &= ~chosen[1:] | new[1:-1]
+    lo, hi = np.flatnonzero(begins), np.flatnonzero(ends)
+    d = np.searchsorted(firsts, lo, side="right") - 1
+    return d, lo - firsts[d], hi - firsts[d]
 
 
 LOCAL = "symbol long, once int, r long, o long, lo int, hi int"
@@ -162,34 +181,39 @@ LOCAL = "symbol long, once int, r long, o long, lo int, hi int"
 def _settle(held: list[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
     """Symbols of windows that are first among ``held`` texts, and ranges of those that are not."""
     held = sorted({(o, r): t for o, r, t in held}.items())
-    parts, base, at = [], 0, 0
+    one, two, runs, at, total = [], [], [], 0, 0
+    firsts = np.zeros(len(held), np.int64)
     while at < len(held):
         n, size = at, 0
         while n < len(held) and (n == at or size + len(held[n][1]) <= BLOCK):
             size += len(held[n][1])
             n += 1
         w = Windows([t for _, t in held[at:n]])
-        parts.append(((w.doc + at).astype(np.int32), w.start.astype(np.int32), w.symbol, w.w1, w.w2))
+        one.append(w.w1)
+        two.append(w.w2)
+        firsts[at:n] = total + np.searchsorted(w.doc, np.arange(n - at))
+        # Neighbours mostly have the same symbol: it is held once for them.
+        new = np.ones(len(w.doc), bool)
+        new[1:] = (w.doc[1:] != w.doc[:-1]) | (w.symbol[1:] != w.symbol[:-1])
+        runs.append((np.flatnonzero(new) + total, (w.doc[new] + at).astype(np.int32), w.symbol[new]))
+        total += len(w.doc)
         at = n
-    if not parts:
+    if not total:
         return
-    doc, start, symbol, w1, w2 = (np.concatenate(c) for c in zip(*parts))
-    parts.clear()
+    later = _later(np.concatenate(one), np.concatenate(two))
+    one.clear()
+    two.clear()
     o, r = (np.array([key[k] for key, _ in held], np.int64) for k in (0, 1))
-    order = np.argsort(w1, kind="stable")
-    again = (w1[order][1:] == w1[order][:-1]) & (w2[order][1:] == w2[order][:-1])
-    later = np.zeros(len(doc), bool)
-    later[order[1:]] = again
-    d, lo, hi = _ranges(doc[later], start[later])
+    d, lo, hi = _ranges(later, firsts)
     yield pa.RecordBatch.from_arrays(
         [pa.nulls(len(d), pa.int64()), pa.nulls(len(d), pa.int32()), pa.array(r[d]), pa.array(o[d]), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))],
         names=["symbol", "once", "r", "o", "lo", "hi"],
     )
-    # Each symbol once for each text.
-    d, s = doc[~later], symbol[~later]
-    new = np.ones(len(d), bool)
-    new[1:] = (d[1:] != d[:-1]) | (s[1:] != s[:-1])
-    d, s = d[new], s[new]
+    # Each symbol once for each text, if one of its windows there is first.
+    begins, d, s = (np.concatenate(c) for c in zip(*runs))
+    runs.clear()
+    first = ~np.logical_and.reduceat(later, begins)
+    d, s = d[first], s[first]
     by = np.lexsort((d, s))
     d, s = d[by], s[by]
     new = np.ones(len(d), bool)
@@ -218,7 +242,7 @@ def _local(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows under the symbols listed with each text."""
-    for piece, texts in text_blocks(batches):
+    for piece, texts in text_blocks(batches, block=BLOCK):
         w = Windows(texts)
         lists = piece.column("symbols")
         keep = np.zeros(len(w.doc), bool)
@@ -277,28 +301,26 @@ def _covered(n: int, ranges: list[int] | None) -> np.ndarray:
 
 
 def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for piece, texts in text_blocks(batches, block=BLOCK):
         rows = []
-        texts = batch.column("text").cast(pa.binary())
-        for k in range(batch.num_rows):
-            words = (texts[k].as_py() or b"").split()
-            gone = _covered(len(words), batch.column("ranges")[k].as_py())
+        for k, text in enumerate(texts):
+            words = text.split()
+            gone = _covered(len(words), piece.column("ranges")[k].as_py())
             kept = [w for w, x in zip(words, gone.tolist()) if not x] if gone.any() else words
             rows.append((len(words), int(gone.sum()), hashlib.sha256(b" ".join(kept)).hexdigest()))
-        n, removed, sha = zip(*rows) if rows else ((), (), ())
+        n, removed, sha = zip(*rows)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(sha, pa.string())],
+            [piece.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(sha, pa.string())],
             names=["doc_id", "n_words", "n_removed", "kept_sha256"],
         )
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts without their repeated words: each goes with the white space after it."""
-    for batch in batches:
-        texts = batch.column("text").cast(pa.binary())
+    """Texts without their repeated words: each goes with the white space after it. Null becomes empty."""
+    for piece, texts in text_blocks(batches, block=BLOCK):
         out = []
-        for k in range(batch.num_rows):
-            text, ranges = texts[k].as_py(), batch.column("ranges")[k].as_py()
+        for k, text in enumerate(texts):
+            ranges = piece.column("ranges")[k].as_py()
             if ranges:
                 w = Words([text])
                 ends = np.append(w.starts[1:], len(text))
@@ -308,7 +330,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 np.add.at(drop, ends[gone], -1)
                 text = np.frombuffer(text, np.uint8)[np.cumsum(drop[:-1]) == 0].tobytes()
             out.append(text)
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.binary()).cast(pa.string())], names=["row", "text"])
+        yield pa.RecordBatch.from_arrays([piece.column("row"), pa.array(out, pa.binary()).cast(pa.string())], names=["row", "text"])
 
 
 def _with_ranges(docs: DataFrame) -> DataFrame:

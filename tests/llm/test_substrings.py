@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
 from telemetry_lake.llm import substrings
 
@@ -84,3 +86,42 @@ def test_tables_and_partitions_without_words(spark):
     both = blank.coalesce(1).union(good.coalesce(1))
     assert sorted((r["doc_id"], r["n_removed"]) for r in substrings.dedup(both).collect()) == [(1, 0), (2, 0), (3, 0), (4, 0), (5, 30)]
     assert [(r["doc_id"], r["text"]) for r in substrings.without_repeats(both).orderBy("doc_id").collect()] == [(4, passage), (5, "more")]
+
+
+def test_workers_hold_little_beside_the_texts():
+    """A worker's own arrays stay small however many texts a batch has; so do the batches it returns."""
+    words = [f"w{k}" for k in range(100_000)]
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices(words, k=600)) for _ in range(1000)]
+    texts[700] = " ".join(texts[3].split()[:25]) + " and more"
+    texts[701] = "too short"
+    texts[999] = texts[998]
+    ids = pa.array(range(1000), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, ids, pa.array(texts)], names=["o", "r", "text"])
+    seen = np.unique(substrings.Windows([t.encode() for t in texts[:10]]).symbol).view(np.int64)
+    listed = batch.append_column("symbols", pa.array([seen] * 1000, pa.list_(pa.int64())))
+    whole = [[599 - 19]] + [None] * 999
+    ranged = pa.RecordBatch.from_arrays(
+        [pa.StructArray.from_arrays([ids], ["doc_id"]), pa.array(texts), pa.array(whole, pa.list_(pa.int64()))], names=["row", "text", "ranges"]
+    )
+
+    def traced(step, rows):
+        tracemalloc.start()
+        out = list(step(iter([rows])))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return out, peak
+
+    local, peak = traced(substrings._local, batch)
+    assert peak < 64 << 20
+    rows = [r for b in local for r in b.to_pylist()]
+    assert sorted((r["o"], r["lo"], r["hi"]) for r in rows if r["symbol"] is None) == [(700, 0, 5), (999, 0, 580)]
+    # A text none of whose windows are first has no symbols; nor has one without windows.
+    assert {r["r"] for r in rows if r["symbol"] is not None} == set(range(999)) - {701}
+    found, peak = traced(substrings._candidates, listed)
+    assert peak < 64 << 20
+    assert {r for b in found for r in b.column("r").to_pylist()} >= set(range(10))
+    cut, peak = traced(substrings._cut, ranged)
+    assert max(b.nbytes for b in cut) < 1 << 20 and peak < 64 << 20
+    left = [t for b in cut for t in b.column("text").to_pylist()]
+    assert left[0] == "" and left[1:] == texts[1:]
